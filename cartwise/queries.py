@@ -17,12 +17,13 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.functions.dates import day_bounds, resolve_windows, window_bounds_frame
+from cartwise.functions.dates import day_bounds, label_period, window_bounds_frame
 from cartwise.functions.metrics import MONEY, WINDOW_ORDER, WINDOWS
 from cartwise.functions.text import normalize_commodity
 from cartwise.oracle import sql as O
 from cartwise.operators import feature_tables as FT
 from cartwise.operators.features import get_features
+from cartwise.operators.labels import class_balance, labels, positive_labels, scoring_set, training_set
 from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
@@ -206,3 +207,110 @@ for _g in GRAINS:
 
 def household_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _q_feature_table(spark, sf_dir, "household")
+
+
+# --------------------------------------------------------------------------
+# labels, lookups, training and scoring sets
+# --------------------------------------------------------------------------
+
+LABEL_DATE = "2001-08-01"
+LABEL_COMMODITY_COLUMN = "p_type"
+LABEL_COMMODITY = "PROMO"
+
+
+def _period():
+    return label_period(LABEL_DATE)
+
+
+@register("label_bounds", lambda: f"WITH {O.base_ctes()} SELECT max_day AS select_date, "
+          "CAST(max_day - 30 AS DATE) AS features_end_day, CAST(max_day - 29 AS DATE) AS labels_start_day, "
+          "max_day AS labels_end_day FROM (SELECT max(\"day\") AS max_day FROM txn)")
+def q_label_bounds(spark, sf_dir):
+    """Feature and label periods for a select date (the last day)."""
+    return (day_bounds(_tx(spark, sf_dir))
+            .select(F.col("max_day").alias("select_date"),
+                    F.date_sub("max_day", 30).alias("features_end_day"),
+                    F.date_sub("max_day", 29).alias("labels_start_day"),
+                    F.col("max_day").alias("labels_end_day")))
+
+
+def _labels_sql_ctes():
+    p = _period()
+    return (f"{O.base_ctes(LABEL_COMMODITY_COLUMN)}, "
+            "hh AS (SELECT DISTINCT household_key FROM txn), "
+            f"pos AS (SELECT DISTINCT household_key, {O.norm_sql('commodity_desc')} AS commodity_desc, 1 AS purchased "
+            f"FROM txp WHERE \"day\" BETWEEN DATE '{p.labels_start_day}' AND DATE '{p.labels_end_day}' "
+            f"AND {O.norm_sql('commodity_desc')} = '{LABEL_COMMODITY}'), "
+            f"lab AS (SELECT hh.household_key, '{LABEL_COMMODITY}' AS commodity_desc, "
+            "CAST(COALESCE(pos.purchased, 0) AS INTEGER) AS purchased, "
+            f"DATE '{p.features_end_day}' AS select_date FROM hh LEFT JOIN pos USING (household_key))")
+
+
+@register("positive_labels", lambda: f"WITH {_labels_sql_ctes()} SELECT household_key, commodity_desc, purchased FROM pos")
+def q_positive_labels(spark, sf_dir):
+    """Households buying the commodity in the label period."""
+    return positive_labels(_tx(spark, sf_dir), _products(spark, sf_dir, LABEL_COMMODITY_COLUMN),
+                           _period(), LABEL_COMMODITY)
+
+
+def _labels(spark, sf_dir):
+    return labels(_tx(spark, sf_dir), _products(spark, sf_dir, LABEL_COMMODITY_COLUMN), _period(), LABEL_COMMODITY)
+
+
+@register("labels", lambda: f"WITH {_labels_sql_ctes()} SELECT * FROM lab")
+def q_labels(spark, sf_dir):
+    """All households with a 0/1 purchase label."""
+    return _labels(spark, sf_dir)
+
+
+@register("class_balance", lambda: f"WITH {_labels_sql_ctes()} SELECT count(*) AS total, "
+          "count(*) FILTER (WHERE purchased = 1) AS positives, "
+          "CAST(count(*) AS DOUBLE) / NULLIF(CAST(count(*) FILTER (WHERE purchased = 1) AS DOUBLE), 0) "
+          "AS pos_class_weight FROM lab")
+def q_class_balance(spark, sf_dir):
+    """Total, positives and the positive-class weight."""
+    return class_balance(_labels(spark, sf_dir))
+
+
+def _feature_tables(spark, sf_dir, select_date):
+    inp = FT.prepare(_tx(spark, sf_dir), _products(spark, sf_dir, LABEL_COMMODITY_COLUMN), select_date)
+    return (FT.household_features(inp), FT.commodity_features(inp), FT.household_commodity_features(inp))
+
+
+def _lookup_sql(spine_cte: str, select_date: str, keep_keys: bool) -> str:
+    """Oracle: the spine CTE ``sp`` left-joined to three feature tables."""
+    from cartwise.functions.metrics import feature_columns
+    cols = feature_columns()
+    parts = [f"hf AS ({O.feature_table_sql('household', select_date, LABEL_COMMODITY_COLUMN)})",
+             f"cf AS ({O.feature_table_sql('commodity', select_date, LABEL_COMMODITY_COLUMN)})",
+             f"hcf AS ({O.feature_table_sql('household_commodity', select_date, LABEL_COMMODITY_COLUMN)})"]
+    sel = ["sp.household_key", "sp.commodity_desc", "sp.select_date"] if keep_keys else []
+    sel += [c for c in ["sp.purchased"] if "purchased" in spine_cte]
+    for alias, prefix in (("hf", "household__"), ("cf", "commodity__"), ("hcf", "household_commodity__")):
+        sel += [f'{alias}."{c}" AS "{prefix}{c}"' for c in cols]
+    return (f"WITH {spine_cte}, {', '.join(parts)} SELECT {', '.join(sel)} FROM sp "
+            "LEFT JOIN hf ON sp.household_key = hf.household_key AND sp.select_date = hf.select_date "
+            "LEFT JOIN cf ON sp.commodity_desc = cf.commodity_desc AND sp.select_date = cf.select_date "
+            "LEFT JOIN hcf ON sp.household_key = hcf.household_key AND sp.commodity_desc = hcf.commodity_desc "
+            "AND sp.select_date = hcf.select_date")
+
+
+@register("training_set", lambda: _lookup_sql(f"{_labels_sql_ctes()}, sp AS (SELECT * FROM lab)",
+                                               str(_period().features_end_day), keep_keys=False))
+def q_training_set(spark, sf_dir):
+    """Labels + 1,128 looked-up features, keys excluded."""
+    hf, cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
+    return training_set(_labels(spark, sf_dir), hf, cf, hcf)
+
+
+def _scoring_sql():
+    spine = (f"{O.base_ctes(LABEL_COMMODITY_COLUMN)}, sp AS (SELECT DISTINCT household_key, "
+             f"'{LABEL_COMMODITY}' AS commodity_desc, DATE '{LABEL_DATE}' AS select_date FROM txn)")
+    return _lookup_sql(spine, LABEL_DATE, keep_keys=True)
+
+
+@register("scoring_set", _scoring_sql)
+def q_scoring_set(spark, sf_dir):
+    """All households x commodity x date with the three lookups."""
+    hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
+    return scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
