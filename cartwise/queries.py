@@ -23,7 +23,13 @@ from cartwise.functions.text import normalize_commodity
 from cartwise.oracle import sql as O
 from cartwise.operators import feature_tables as FT
 from cartwise.operators.features import get_features
-from cartwise.operators.labels import class_balance, labels, positive_labels, scoring_set, training_set
+from cartwise.operators import model as M
+from cartwise.operators.evaluate import average_precision, confusion_metrics, roc_auc
+from cartwise.operators.labels import (
+    class_balance, feature_lookup, labels, positive_labels, scoring_set, training_set,
+)
+from cartwise.operators.registry import AUC_GATE, CHAMPION, latest_version, promote, version_for_alias
+from cartwise.operators.split import assign_split, split_bucket_sql
 from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
@@ -314,3 +320,212 @@ def q_scoring_set(spark, sf_dir):
     """All households x commodity x date with the three lookups."""
     hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
     return scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
+
+
+# --------------------------------------------------------------------------
+# split, ranking and confusion metrics, registry
+# --------------------------------------------------------------------------
+
+MODEL_NAME = "propensity_" + LABEL_COMMODITY
+# Baseline scorers registered as successive model versions: each scores a
+# household by one looked-up feature; their test AUCs drive the registry.
+CANDIDATES = (
+    (1, "household_commodity__amount_paid_90d"),
+    (2, "household_commodity__baskets_30d"),
+    (3, "household__baskets_90d"),
+    (4, "household_commodity__days_1yr"),
+    (5, "household_commodity__line_items_90d"),
+)
+BASELINE_SCORE = CANDIDATES[0][1]
+
+
+def _evaluation_frame(spark, sf_dir) -> DataFrame:
+    """Labels + the looked-up features the baselines use, with the split."""
+    hf, _cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
+    lab = _labels(spark, sf_dir)
+    ev = feature_lookup(feature_lookup(lab, hf, "household"), hcf, "household_commodity")
+    return assign_split(ev.select("household_key", F.col("purchased").alias("label"),
+                                  *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for _, c in CANDIDATES]))
+
+
+def _evaluation_sql_ctes() -> str:
+    fed = str(_period().features_end_day)
+    cols = ", ".join(f"COALESCE({'hf' if c.startswith('household__') else 'hcf'}.\"{c.split('__', 1)[1]}\", 0.0) "
+                     f"AS \"{c}\"" for _, c in CANDIDATES)
+    return (f"{_labels_sql_ctes()}, "
+            f"hf AS ({O.feature_table_sql('household', fed, LABEL_COMMODITY_COLUMN)}), "
+            f"hcf AS ({O.feature_table_sql('household_commodity', fed, LABEL_COMMODITY_COLUMN)}), "
+            f"ev0 AS (SELECT lab.household_key, lab.purchased AS label, {cols} FROM lab "
+            "LEFT JOIN hf ON lab.household_key = hf.household_key AND lab.select_date = hf.select_date "
+            "LEFT JOIN hcf ON lab.household_key = hcf.household_key AND lab.commodity_desc = hcf.commodity_desc "
+            "AND lab.select_date = hcf.select_date), "
+            f"ev AS (SELECT *, {split_bucket_sql('household_key')} AS bucket FROM ev0)")
+
+
+def _split_case(bucket="bucket"):
+    return f"CASE WHEN {bucket} < 70 THEN 'train' WHEN {bucket} < 85 THEN 'validate' ELSE 'test' END"
+
+
+@register("split_assignment", lambda: f"WITH {_labels_sql_ctes()} SELECT household_key, purchased, "
+          f"{split_bucket_sql('household_key')} AS bucket, {_split_case(split_bucket_sql('household_key'))} AS split FROM lab")
+def q_split_assignment(spark, sf_dir):
+    """M1: deterministic 70/15/15 split of the labelled households."""
+    return assign_split(_labels(spark, sf_dir)).select("household_key", "purchased", "bucket", "split")
+
+
+def _ranking_sql(metric: str) -> str:
+    score = f'"{BASELINE_SCORE}"'
+    g = (f"g AS (SELECT {score} AS score, count(*) FILTER (WHERE label = 1) AS pos, "
+         f"count(*) FILTER (WHERE label <> 1) AS neg FROM ev GROUP BY {score}), "
+         "c AS (SELECT score, pos, neg, "
+         "sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp, "
+         "sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp, "
+         "sum(pos) OVER () AS p_total, sum(neg) OVER () AS n_total FROM g)")
+    if metric == "ap":
+        sel = ("round(sum(CAST(pos AS DOUBLE) * (CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE))) "
+               "/ NULLIF(CAST(max(p_total) AS DOUBLE), 0), 12) AS average_precision")
+    else:
+        sel = ("CAST(sum(pos * (2 * (n_total - fp) + neg)) AS DOUBLE) "
+               "/ NULLIF(CAST(2 * max(p_total) * max(n_total) AS DOUBLE), 0) AS roc_auc")
+    return f"WITH {_evaluation_sql_ctes()}, {g} SELECT {sel} FROM c"
+
+
+@register("metric_average_precision", lambda: _ranking_sql("ap"))
+def q_metric_average_precision(spark, sf_dir):
+    """M5: average precision of the baseline score against the labels."""
+    ev = _evaluation_frame(spark, sf_dir)
+    return average_precision(ev, "label", BASELINE_SCORE)
+
+
+@register("metric_roc_auc", lambda: _ranking_sql("auc"))
+def q_metric_roc_auc(spark, sf_dir):
+    """M6: ROC AUC (ties count half) of the baseline score."""
+    ev = _evaluation_frame(spark, sf_dir)
+    return roc_auc(ev, "label", BASELINE_SCORE)
+
+
+@register("metric_confusion", lambda: (
+    f"WITH {_evaluation_sql_ctes()}, k AS (SELECT "
+    f"count(*) FILTER (WHERE label = 1 AND \"{BASELINE_SCORE}\" > 0) AS tp, "
+    f"count(*) FILTER (WHERE label <> 1 AND \"{BASELINE_SCORE}\" > 0) AS fp, "
+    f"count(*) FILTER (WHERE label <> 1 AND NOT (\"{BASELINE_SCORE}\" > 0)) AS tn, "
+    f"count(*) FILTER (WHERE label = 1 AND NOT (\"{BASELINE_SCORE}\" > 0)) AS fn FROM ev) "
+    "SELECT tp, fp, tn, fn, "
+    "(COALESCE(CAST(tp AS DOUBLE) / NULLIF(CAST(tp AS DOUBLE) + CAST(fn AS DOUBLE), 0), 0.0) + "
+    "COALESCE(CAST(tn AS DOUBLE) / NULLIF(CAST(tn AS DOUBLE) + CAST(fp AS DOUBLE), 0), 0.0)) / 2.0 AS balanced_accuracy, "
+    "CASE WHEN sqrt((CAST(tp AS DOUBLE) + CAST(fp AS DOUBLE)) * (CAST(tp AS DOUBLE) + CAST(fn AS DOUBLE)) * "
+    "(CAST(tn AS DOUBLE) + CAST(fp AS DOUBLE)) * (CAST(tn AS DOUBLE) + CAST(fn AS DOUBLE))) = 0 THEN 0.0 ELSE "
+    "(CAST(tp AS DOUBLE) * CAST(tn AS DOUBLE) - CAST(fp AS DOUBLE) * CAST(fn AS DOUBLE)) / "
+    "sqrt((CAST(tp AS DOUBLE) + CAST(fp AS DOUBLE)) * (CAST(tp AS DOUBLE) + CAST(fn AS DOUBLE)) * "
+    "(CAST(tn AS DOUBLE) + CAST(fp AS DOUBLE)) * (CAST(tn AS DOUBLE) + CAST(fn AS DOUBLE))) END AS matthews_corrcoef FROM k"))
+def q_metric_confusion(spark, sf_dir):
+    """M7: confusion counts, balanced accuracy and MCC of score > 0."""
+    ev = _evaluation_frame(spark, sf_dir).withColumn(
+        "prediction", (F.col(BASELINE_SCORE) > 0).cast("int"))
+    return confusion_metrics(ev, "label", "prediction")
+
+
+def _history(spark, sf_dir) -> DataFrame:
+    """Test-split AUC of every candidate version, computed in one pass."""
+    ev = _evaluation_frame(spark, sf_dir).filter(F.col("split") == "test")
+    long = ev.select("label", F.explode(F.array(*[
+        F.struct(F.lit(v).alias("version"), F.col(c).alias("score")) for v, c in CANDIDATES])).alias("s"))
+    long = long.select("label", F.col("s.version").alias("version"), F.col("s.score").alias("score"))
+    return (roc_auc(long, "label", "score", by=["version"])
+            .select(F.lit(MODEL_NAME).alias("model_name"), "version", "roc_auc"))
+
+
+def _history_sql() -> str:
+    per = []
+    for v, c in CANDIDATES:
+        per.append(
+            f"SELECT {v} AS version, CAST(sum(pos * (2 * (n_total - fp) + neg)) AS DOUBLE) "
+            "/ NULLIF(CAST(2 * max(p_total) * max(n_total) AS DOUBLE), 0) AS roc_auc FROM ("
+            "SELECT pos, neg, sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp, "
+            "sum(pos) OVER () AS p_total, sum(neg) OVER () AS n_total FROM ("
+            f"SELECT \"{c}\" AS score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg "
+            f"FROM ev WHERE {_split_case()} = 'test' GROUP BY \"{c}\"))")
+    return (f"{_evaluation_sql_ctes()}, hist AS (SELECT '{MODEL_NAME}' AS model_name, version, roc_auc FROM ("
+            + " UNION ALL ".join(per) + "))")
+
+
+def _promotion_sql() -> str:
+    return (f"WITH {_history_sql()}, s AS (SELECT *, roc_auc >= {AUC_GATE} AS passes, "
+            f"max(CASE WHEN roc_auc >= {AUC_GATE} THEN roc_auc END) OVER (PARTITION BY model_name ORDER BY version "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM hist), "
+            "t AS (SELECT *, COALESCE(passes, false) AND (best_before IS NULL OR roc_auc >= best_before) AS champ FROM s), "
+            "u AS (SELECT *, max(CASE WHEN champ THEN version END) OVER (PARTITION BY model_name) AS last_champion, "
+            "max(CASE WHEN COALESCE(passes, false) THEN version END) OVER (PARTITION BY model_name) AS last_passing FROM t) "
+            "SELECT model_name, version, roc_auc, CASE WHEN version = last_champion THEN 'Champion' "
+            "WHEN version = last_passing AND NOT champ THEN 'Challenger' END AS alias FROM u")
+
+
+@register("model_promotion", _promotion_sql)
+def q_model_promotion(spark, sf_dir):
+    """M8: champion/challenger aliases from the version history."""
+    return promote(_history(spark, sf_dir))
+
+
+@register("latest_model_version", lambda: f"WITH {_history_sql()} SELECT model_name, "
+          "greatest(max(version), 1) AS latest_version FROM hist GROUP BY model_name")
+def q_latest_model_version(spark, sf_dir):
+    """M9: latest registered version (at least 1)."""
+    return latest_version(_history(spark, sf_dir))
+
+
+@register("champion_version", lambda: f"SELECT model_name, version, roc_auc FROM ({_promotion_sql()}) "
+          "WHERE alias = 'Champion'")
+def q_champion_version(spark, sf_dir):
+    """The version the Champion alias points to."""
+    return version_for_alias(promote(_history(spark, sf_dir)), CHAMPION)
+
+
+# --------------------------------------------------------------------------
+# model fit, tuning and batch scoring (M3, M4, M10) - rows-only checks
+# --------------------------------------------------------------------------
+
+def _model_data(spark, sf_dir) -> DataFrame:
+    """Training set with keys and split, checkpointed to the shared folder.
+
+    Every boosting iteration and every tuning trial reads it again; the
+    checkpoint cuts the feature-build lineage so they read stored rows.
+    """
+    hf, cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
+    ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True)
+    return assign_split(ts).checkpoint(eager=True)
+
+
+@register("train_model")
+def q_train_model(spark, sf_dir):
+    """M3: GBT fit on the train split, test-split predictions."""
+    data = _model_data(spark, sf_dir)
+    feats = M.feature_names(data)
+    model = M.fit(data.filter(F.col("split") == "train"), feats, M.Params())
+    return (M.predict(model, data.filter(F.col("split") == "test"), feats)
+            .select("household_key", "purchased", "probability", "prediction"))
+
+
+TUNING_TRIALS = 8
+
+
+@register("tune_model")
+def q_tune_model(spark, sf_dir):
+    """M4: random search on train, scored by average precision on validate."""
+    data = _model_data(spark, sf_dir)
+    feats = M.feature_names(data)
+    bal = class_balance(data).first()
+    cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"])
+    res = M.tune(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate"), feats,
+                 cands, parallelism=spark.sparkContext.defaultParallelism)
+    return M.trials_frame(spark, res)
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Final model on train+validate scores every household."""
+    data = _model_data(spark, sf_dir)
+    feats = M.feature_names(data)
+    model = M.fit(data.filter(F.col("split") != "test"), feats, M.Params())
+    hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
+    sc = scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
+    return M.batch_score(model, sc, feats, model_version=1)
