@@ -12,6 +12,7 @@ result and the DuckDB oracle describe the same computation:
 
 from __future__ import annotations
 
+import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,9 @@ from cartwise.operators.split import assign_split, split_bucket_sql
 from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
+from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
+from cartwise.session import checkpoint_root
+from cartwise.sources.store import FeatureStore, write_predictions
 from cartwise.sources.tables import load_products, load_transactions, transactions_asof, with_commodity
 
 FEATURE_DATE = "2001-08-01"
@@ -529,3 +533,64 @@ def q_batch_score(spark, sf_dir):
     hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
     sc = scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
     return M.batch_score(model, sc, feats, model_version=1)
+
+
+# --------------------------------------------------------------------------
+# feature store: read, key check, merge-upsert, predictions table
+# --------------------------------------------------------------------------
+
+UPSERT_DATES = ("2001-07-02", "2001-08-01")
+
+
+def _fresh_store(spark) -> FeatureStore:
+    return FeatureStore(spark, f"{checkpoint_root(spark).rstrip('/')}/query-store-{uuid.uuid4().hex}")
+
+
+@register("feature_table_read", lambda: O.feature_table_sql("household", FEATURE_DATE, FEATURE_COMMODITY))
+def q_feature_table_read(spark, sf_dir):
+    """Household table created, merged and read back for one date."""
+    store = _fresh_store(spark)
+    run_feature_job(_tx(spark, sf_dir), _products(spark, sf_dir), FEATURE_DATE, store)
+    return store.read_table(TABLE_NAMES["household"], FEATURE_DATE)
+
+
+def _upserted_commodity_table(spark, sf_dir) -> tuple[FeatureStore, str]:
+    """Write date A, then B, then A again: merge must replace, not duplicate."""
+    store = _fresh_store(spark)
+    name = TABLE_NAMES["commodity"]
+    tx, pr = _tx(spark, sf_dir), _products(spark, sf_dir)
+    for d in (UPSERT_DATES[0], UPSERT_DATES[1], UPSERT_DATES[0]):
+        df = FT.commodity_features(FT.prepare(tx, pr, d))
+        store.create_table(name, ["commodity_desc", "select_date"], df.schema)
+        store.write_table(name, df, mode="merge")
+    return store, name
+
+
+def _upsert_union_sql() -> str:
+    return " UNION ALL ".join(f"({O.feature_table_sql('commodity', d, FEATURE_COMMODITY)})" for d in UPSERT_DATES)
+
+
+@register("feature_table_upsert", _upsert_union_sql)
+def q_feature_table_upsert(spark, sf_dir):
+    """The commodity table after merging two dates (one of them twice)."""
+    store, name = _upserted_commodity_table(spark, sf_dir)
+    return store.read_table(name)
+
+
+@register("feature_table_key_check", lambda: (
+    f"WITH u AS ({_upsert_union_sql()}), k AS (SELECT commodity_desc, select_date, count(*) AS n FROM u "
+    "GROUP BY commodity_desc, select_date) SELECT CAST(sum(n) AS BIGINT) AS \"rows\", "
+    "CAST(count(*) AS BIGINT) AS distinct_keys, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS duplicate_keys FROM k"))
+def q_feature_table_key_check(spark, sf_dir):
+    """S3: primary-key uniqueness of the merged table."""
+    store, name = _upserted_commodity_table(spark, sf_dir)
+    return store.key_check(name)
+
+
+@register("predictions_table")
+def q_predictions_table(spark, sf_dir):
+    """Stamped predictions written (overwrite) and read back."""
+    out = q_batch_score(spark, sf_dir)
+    path = f"{checkpoint_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    write_predictions(out, path)
+    return spark.read.parquet(path)
