@@ -88,7 +88,8 @@ class FeatureStore:
 
     # -- S2: read ---------------------------------------------------------
     def read_table(self, name: str, select_date=None) -> DataFrame:
-        df = self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+        schema = self.schema(name)
+        df = self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
         if select_date is not None:
             df = df.filter(F.col(PARTITION) == F.lit(select_date).cast("date"))
         return df
