@@ -60,14 +60,18 @@ def prepare(transactions: DataFrame, products: DataFrame, select_date, top_n: in
 
 
 def _finish(df: DataFrame, keys: list[str], select_date) -> DataFrame:
-    """Add the select date, order columns, fill numeric NULLs with 0.0."""
-    metric_cols = feature_columns()
-    out = df.select(*keys, F.lit(select_date).alias("select_date"), *metric_cols)
-    return out.fillna(0.0, subset=metric_cols)
+    """Add the select date, order columns, fill missing metrics with 0.0.
+
+    Same rule as ``fillna(0.0)`` on double columns (NULL and NaN become 0),
+    written as one projection.
+    """
+    exprs = [f"`{k}`" for k in keys] + [f"DATE'{as_date(select_date).isoformat()}' AS select_date"]
+    exprs += [f"coalesce(nanvl(`{c}`, 0.0D), 0.0D) AS `{c}`" for c in feature_columns()]
+    return df.selectExpr(*exprs)
 
 
 def _empty_metrics(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys, *[F.lit(None).cast("double").alias(c) for c in feature_columns()])
+    return df.selectExpr(*[f"`{k}`" for k in keys], *[f"CAST(NULL AS DOUBLE) AS `{c}`" for c in feature_columns()])
 
 
 def household_features(inp: FeatureInputs) -> DataFrame:

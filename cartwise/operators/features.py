@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import LookBack, check_windows, collect_max_day, resolve_windows
@@ -57,6 +57,14 @@ def _tag(d) -> str:
     return d.strftime("%Y%m%d")
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _d(d) -> str:
+    return f"DATE'{d.isoformat()}'"
+
+
 def _end_groups(wins: Sequence[LookBack]) -> dict:
     """window end -> earliest start among the windows ending there."""
     groups: dict = {}
@@ -65,103 +73,84 @@ def _end_groups(wins: Sequence[LookBack]) -> dict:
     return groups
 
 
+# Expressions are generated as SQL text: one ``F.expr`` per aggregate and
+# one ``selectExpr`` call for a whole projection keep plan construction to a
+# few hundred JVM round trips instead of tens of thousands.
+
 def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
     """Counts, sums and days-since components for every window, one pass."""
-    day = F.col("day")
-    aggs: list[Column] = []
+    aggs: list[str] = []
     for w in wins:
-        inw = day.between(F.lit(w.start), F.lit(w.end))
-        aggs.append(F.count(F.when(inw, F.lit(1))).alias(f"line_items__{w.name}"))
-        aggs.append(F.count(F.when(inw, F.col("product_id"))).alias(f"products__{w.name}"))
+        inw = f"day BETWEEN {_d(w.start)} AND {_d(w.end)}"
+        aggs.append(f"count(CASE WHEN {inw} THEN 1 END) AS {_q('line_items__' + w.name)}")
+        aggs.append(f"count(CASE WHEN {inw} THEN product_id END) AS {_q('products__' + w.name)}")
         for m in MONEY:
-            aggs.append(F.sum(F.when(inw, F.col(m))).alias(f"{m}__{w.name}"))
+            aggs.append(f"sum(CASE WHEN {inw} THEN {_q(m)} END) AS {_q(m + '__' + w.name)}")
         for d in DISCOUNTS:
-            aggs.append(F.sum(F.when(inw & (F.col(d) > 0), F.lit(1)))
-                        .alias(f"line_items_with_{d}__{w.name}"))
+            aggs.append(f"sum(CASE WHEN {inw} AND {_q(d)} > 0 THEN 1 END) "
+                        f"AS {_q('line_items_with_' + d + '__' + w.name)}")
     for end in _end_groups(wins):
-        upto = day <= F.lit(end)
+        upto = f"day <= {_d(end)}"
         t = _tag(end)
-        aggs.append(F.max(F.when(upto, F.lit(1))).alias(f"any__{t}"))
+        aggs.append(f"max(CASE WHEN {upto} THEN 1 END) AS {_q('any__' + t)}")
         for d in DISCOUNTS:
-            pos = F.col(d) > 0
-            aggs.append(F.max(F.when(upto & pos, day)).alias(f"last_{d}__{t}"))
-            aggs.append(F.max(F.when(upto & ~F.coalesce(pos, F.lit(False)), F.lit(1)))
-                        .alias(f"rest_{d}__{t}"))
-    return tx.groupBy(*keys).agg(*aggs)
+            aggs.append(f"max(CASE WHEN {upto} AND {_q(d)} > 0 THEN day END) AS {_q('last_' + d + '__' + t)}")
+            aggs.append(f"max(CASE WHEN {upto} AND NOT coalesce({_q(d)} > 0, false) THEN 1 END) "
+                        f"AS {_q('rest_' + d + '__' + t)}")
+    return tx.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
 
 def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
     """The 14 distinct counts per window via the two-level entity stack."""
-    day = F.col("day")
     groups = _end_groups(wins)
-    in_any = None
-    for end, lo in groups.items():
-        c = day.between(F.lit(lo), F.lit(end))
-        in_any = c if in_any is None else (in_any | c)
-    entities = F.array(
-        F.struct(F.lit(_KIND["days"]).alias("kind"), F.unix_date(day).cast("long").alias("value")),
-        F.struct(F.lit(_KIND["baskets"]).alias("kind"), F.col("basket_id").cast("long").alias("value")),
-        F.struct(F.lit(_KIND["products"]).alias("kind"), F.col("product_id").cast("long").alias("value")),
-    )
-    stacked = (
-        tx.filter(in_any)
-        .select(*keys, "day", *[(F.col(d) > 0).alias(f"pos_{i}") for i, d in enumerate(DISCOUNTS)],
-                F.explode(entities).alias("e"))
-        .select(*keys, "day", *[f"pos_{i}" for i in range(len(DISCOUNTS))],
-                F.col("e.kind").alias("kind"), F.col("e.value").alias("value"))
-        .filter(F.col("value").isNotNull())
-    )
+    in_any = " OR ".join(f"(day BETWEEN {_d(lo)} AND {_d(end)})" for end, lo in groups.items())
+    kq = [_q(k) for k in keys]
+    stack = (f"stack(3, {_KIND['days']}, CAST(unix_date(day) AS BIGINT), "
+             f"{_KIND['baskets']}, CAST(basket_id AS BIGINT), "
+             f"{_KIND['products']}, CAST(product_id AS BIGINT)) AS (kind, value)")
+    stacked = (tx.filter(F.expr(in_any))
+               .selectExpr(*kq, "day", *[f"{_q(d)} > 0 AS pos_{i}" for i, d in enumerate(DISCOUNTS)], stack)
+               .filter(F.col("value").isNotNull()))
     level1 = []
     for end, lo in groups.items():
         t = _tag(end)
-        inr = day.between(F.lit(lo), F.lit(end))
-        level1.append(F.max(F.when(inr, day)).alias(f"last__{t}"))
+        inr = f"day BETWEEN {_d(lo)} AND {_d(end)}"
+        level1.append(f"max(CASE WHEN {inr} THEN day END) AS {_q('last__' + t)}")
         for i, _ in enumerate(DISCOUNTS):
-            level1.append(F.max(F.when(inr & F.col(f"pos_{i}"), day)).alias(f"last_{i}__{t}"))
-    per_entity = stacked.groupBy(*keys, "kind", "value").agg(*level1)
+            level1.append(f"max(CASE WHEN {inr} AND pos_{i} THEN day END) AS {_q(f'last_{i}__{t}')}")
+    per_entity = stacked.groupBy(*keys, "kind", "value").agg(*[F.expr(a) for a in level1])
 
-    kind = F.col("kind")
     level2 = []
     for w in wins:
         t = _tag(w.end)
-        start = F.lit(w.start)
-        level2.append(F.count(F.when((kind == _KIND["days"]) & (F.col(f"last__{t}") >= start), F.lit(1)))
-                      .alias(f"days__{w.name}"))
-        level2.append(F.count(F.when((kind == _KIND["baskets"]) & (F.col(f"last__{t}") >= start), F.lit(1)))
-                      .alias(f"baskets__{w.name}"))
+        start = _d(w.start)
+        for entity in ("days", "baskets"):
+            level2.append(f"count(CASE WHEN kind = {_KIND[entity]} AND {_q('last__' + t)} >= {start} THEN 1 END) "
+                          f"AS {_q(entity + '__' + w.name)}")
         for entity in ("days", "baskets", "products"):
             for i, d in enumerate(DISCOUNTS):
-                level2.append(
-                    F.count(F.when((kind == _KIND[entity]) & (F.col(f"last_{i}__{t}") >= start), F.lit(1)))
-                    .alias(f"{entity}_with_{d}__{w.name}"))
-    return per_entity.groupBy(*keys).agg(*level2)
-
-
-def _window_columns(w: LookBack, keys_ok: Column) -> list[Column]:
-    """The 94 metric columns of one window, from the joined aggregates."""
-    n = F.col(f"line_items__{w.name}")
-    has = keys_ok & (n > 0)
-
-    def gated(name: str) -> Column:
-        return F.when(has, F.col(f"{name}__{w.name}")).cast("double")
-
-    m: dict[str, Column] = {}
-    for a in AGGREGATES:
-        m[a] = gated(a)
-    m[DAYS_IN_WINDOW] = F.lit(float(w.days_in_window))
-    cols = [m[a].alias(output_name(a, w.name)) for a in AGGREGATES]
+                level2.append(f"count(CASE WHEN kind = {_KIND[entity]} AND {_q(f'last_{i}__{t}')} >= {start} "
+                              f"THEN 1 END) AS {_q(entity + '_with_' + d + '__' + w.name)}")
+    return per_entity.groupBy(*keys).agg(*[F.expr(a) for a in level2])
+
+
+def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
+    """The 94 metric expressions of one window, from the joined aggregates."""
+    has = f"({keys_ok}) AND {_q('line_items__' + w.name)} > 0"
+    m: dict[str, str] = {a: f"CAST(CASE WHEN {has} THEN {_q(a + '__' + w.name)} END AS DOUBLE)"
+                         for a in AGGREGATES}
+    m[DAYS_IN_WINDOW] = f"CAST({w.days_in_window} AS DOUBLE)"
+    out = [f"{m[a]} AS {_q(output_name(a, w.name))}" for a in AGGREGATES]
     for name, num, den in RATIOS:
-        cols.append(F.try_divide(m[num], m[den]).alias(output_name(name, w.name)))
+        out.append(f"try_divide({m[num]}, {m[den]}) AS {_q(output_name(name, w.name))}")
     t = _tag(w.end)
     span = (w.end - w.start).days
     for name, d in DAYS_SINCE:
-        since = F.least(
-            F.datediff(F.lit(w.end), F.col(f"last_{d}__{t}")),
-            F.when(F.col(f"rest_{d}__{t}") == 1, F.lit(span)),
-        )
-        cols.append(F.when(keys_ok & F.col(f"any__{t}").isNotNull(), since).cast("double")
-                    .alias(output_name(name, w.name)))
-    return cols
+        since = (f"least(datediff({_d(w.end)}, {_q('last_' + d + '__' + t)}), "
+                 f"CASE WHEN {_q('rest_' + d + '__' + t)} = 1 THEN {span} END)")
+        out.append(f"CAST(CASE WHEN ({keys_ok}) AND {_q('any__' + t)} IS NOT NULL THEN {since} END AS DOUBLE) "
+                   f"AS {_q(output_name(name, w.name))}")
+    return out
 
 
 def window_features(tx: DataFrame, grouping_keys, wins: Sequence[LookBack]) -> DataFrame:
@@ -177,13 +166,11 @@ def window_features(tx: DataFrame, grouping_keys, wins: Sequence[LookBack]) -> D
     add = additive_aggregate(tx, keys, wins)
     dist = distinct_aggregate(tx, keys, wins)
     joined = add.join(dist, keys, "left")
-    keys_ok = F.lit(True)
-    for k in keys:
-        keys_ok = keys_ok & F.col(k).isNotNull()
-    cols = [F.col(k) for k in keys]
+    keys_ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
+    exprs = [_q(k) for k in keys]
     for w in wins:
-        cols.extend(_window_columns(w, keys_ok))
-    return joined.select(*cols)
+        exprs.extend(_window_exprs(w, keys_ok))
+    return joined.selectExpr(*exprs)
 
 
 def get_features(df: DataFrame, grouping_keys, window: str | Sequence[str] = None,

@@ -73,7 +73,7 @@ def feature_lookup(spine: DataFrame, table: DataFrame, grain: str, broadcast_tab
     """
     keys = LOOKUP_KEYS[grain]
     feats = [c for c in table.columns if c not in keys]
-    side = table.select(*keys, *[F.col(c).alias(PREFIX[grain] + c) for c in feats])
+    side = table.selectExpr(*[f"`{k}`" for k in keys], *[f"`{c}` AS `{PREFIX[grain]}{c}`" for c in feats])
     if broadcast_table:
         side = F.broadcast(side)
     return spine.join(side, keys, "left")

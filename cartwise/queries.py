@@ -520,7 +520,7 @@ def q_tune_model(spark, sf_dir):
     bal = class_balance(data).first()
     cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"])
     res = M.tune(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate"), feats,
-                 cands, parallelism=spark.sparkContext.defaultParallelism)
+                 cands, parallelism=min(4, spark.sparkContext.defaultParallelism))
     return M.trials_frame(spark, res)
 
 

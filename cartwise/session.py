@@ -19,7 +19,11 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # plans of the wide feature tables are large; keep only recent ones
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.sql.maxPlanStringLength": "200000",
 }
+LOCAL_DRIVER_MEMORY = "8g"
 
 _LOCAL_ROOTS: dict[int, str] = {}
 
@@ -31,6 +35,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         b = b.master(master)
     conf = dict(_DEFAULTS)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
