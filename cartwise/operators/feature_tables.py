@@ -13,12 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.dates import as_date, collect_max_day, resolve_windows
+from cartwise.functions.dates import as_date, resolve_windows
 from cartwise.functions.metrics import WINDOW_ORDER, feature_columns
 from cartwise.functions.text import normalize_commodity
-from cartwise.operators.features import window_features
+from cartwise.operators.features import grouping_set_id, joined_aggregates, project_features, window_features
 from cartwise.operators.spine import (
-    TOP_N, collect_top_commodities, distinct_households, household_commodity_spine,
+    TOP_N, distinct_households, household_commodity_spine, top_commodities_and_max_day,
 )
 from cartwise.sources.tables import with_commodity
 
@@ -52,10 +52,9 @@ def prepare(transactions: DataFrame, products: DataFrame, select_date, top_n: in
     """Build the shared inputs (decision D4: both sides normalised)."""
     select_date = as_date(select_date)
     tx_all = with_commodity(transactions, products)
-    top = collect_top_commodities(tx_all, top_n)
+    top, max_day = top_commodities_and_max_day(tx_all, select_date, top_n)
     tx_asof = (tx_all.filter(F.col("day") <= F.lit(select_date))
                .withColumn("commodity_desc", normalize_commodity("commodity_desc")))
-    max_day = collect_max_day(tx_asof)
     return FeatureInputs(tx_asof, select_date, max_day, top)
 
 
@@ -111,6 +110,42 @@ def household_commodity_features(inp: FeatureInputs) -> DataFrame:
     return _finish(spine.join(wf, keys, "left"), keys, inp.select_date)
 
 
+def all_feature_tables(inp: FeatureInputs) -> dict[str, DataFrame]:
+    """G2-G4 together: one history scan and one window scan for all grains.
+
+    The transactions are aggregated once with ``GROUPING SETS`` over
+    (household), (commodity), (household, commodity); commodities outside
+    the top list are blanked first, so their rows only feed the household
+    set (their commodity groups carry a NULL key and match no spine row).
+    The joined aggregates (about 130 columns) are checkpointed to the
+    shared folder once; each table is then a filter, a projection and, for
+    the two commodity grains, a left join to its spine.  The pair spine's
+    households come from the household rows of the same aggregate.
+    """
+    h, c = "household_key", "commodity_desc"
+    keys = [h, c]
+    if not inp.max_day or not inp.top:
+        return {g: build(inp) for g, build in BUILDERS.items()}
+    tx = inp.tx_asof.withColumn(c, F.when(F.col(c).isin(inp.top), F.col(c)))
+    sets = [[h], [c], [h, c]]
+    joined = joined_aggregates(tx, keys, inp.windows, sets).checkpoint(eager=True)
+
+    def grain(subset):
+        part = joined.filter(F.col("gid") == grouping_set_id(keys, subset))
+        return project_features(part, subset, inp.windows)
+
+    spark = inp.tx_asof.sparkSession
+    hh = grain([h])
+    cm_spine = spark.createDataFrame([(x,) for x in inp.top], "commodity_desc string")
+    hc_spine = household_commodity_spine(
+        joined.filter(F.col("gid") == grouping_set_id(keys, [h])).select(h), inp.top)
+    return {
+        "household": _finish(hh, [h], inp.select_date),
+        "commodity": _finish(F.broadcast(cm_spine).join(grain([c]), [c], "left"), [c], inp.select_date),
+        "household_commodity": _finish(hc_spine.join(grain([h, c]), [h, c], "left"), [h, c], inp.select_date),
+    }
+
+
 BUILDERS = {
     "household": household_features,
     "commodity": commodity_features,

@@ -77,7 +77,22 @@ def _end_groups(wins: Sequence[LookBack]) -> dict:
 # one ``selectExpr`` call for a whole projection keep plan construction to a
 # few hundred JVM round trips instead of tens of thousands.
 
-def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+def _grouped(df: DataFrame, keys: list[str], sets, extra: list[str] | None = None):
+    """``groupBy`` on the keys, or ``GROUPING SETS`` over them plus a ``gid``
+    aggregate telling which set a row belongs to (bit set = key rolled up)."""
+    extra = list(extra or [])
+    if not sets:
+        return df.groupBy(*keys, *extra), []
+    gid = " + ".join(f"grouping({_q(k)}) * {1 << (len(keys) - 1 - i)}" for i, k in enumerate(keys))
+    return df.groupingSets([list(s) + extra for s in sets], *keys, *extra), [f"{gid} AS gid"]
+
+
+def grouping_set_id(keys: list[str], subset: list[str]) -> int:
+    """The ``gid`` of the grouping set ``subset`` of ``keys``."""
+    return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in subset)
+
+
+def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
     """Counts, sums and days-since components for every window, one pass."""
     aggs: list[str] = []
     for w in wins:
@@ -97,10 +112,11 @@ def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack])
             aggs.append(f"max(CASE WHEN {upto} AND {_q(d)} > 0 THEN day END) AS {_q('last_' + d + '__' + t)}")
             aggs.append(f"max(CASE WHEN {upto} AND NOT coalesce({_q(d)} > 0, false) THEN 1 END) "
                         f"AS {_q('rest_' + d + '__' + t)}")
-    return tx.groupBy(*keys).agg(*[F.expr(a) for a in aggs])
+    grouped, gid = _grouped(tx, keys, sets)
+    return grouped.agg(*[F.expr(a) for a in gid + aggs])
 
 
-def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
     """The 14 distinct counts per window via the two-level entity stack."""
     groups = _end_groups(wins)
     in_any = " OR ".join(f"(day BETWEEN {_d(lo)} AND {_d(end)})" for end, lo in groups.items())
@@ -118,7 +134,8 @@ def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack])
         level1.append(f"max(CASE WHEN {inr} THEN day END) AS {_q('last__' + t)}")
         for i, _ in enumerate(DISCOUNTS):
             level1.append(f"max(CASE WHEN {inr} AND pos_{i} THEN day END) AS {_q(f'last_{i}__{t}')}")
-    per_entity = stacked.groupBy(*keys, "kind", "value").agg(*[F.expr(a) for a in level1])
+    grouped, gid = _grouped(stacked, keys, sets, ["kind", "value"])
+    per_entity = grouped.agg(*[F.expr(a) for a in gid + level1])
 
     level2 = []
     for w in wins:
@@ -131,7 +148,8 @@ def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack])
             for i, d in enumerate(DISCOUNTS):
                 level2.append(f"count(CASE WHEN kind = {_KIND[entity]} AND {_q(f'last_{i}__{t}')} >= {start} "
                               f"THEN 1 END) AS {_q(entity + '_with_' + d + '__' + w.name)}")
-    return per_entity.groupBy(*keys).agg(*[F.expr(a) for a in level2])
+    by = (["gid"] if sets else []) + keys
+    return per_entity.groupBy(*by).agg(*[F.expr(a) for a in level2])
 
 
 def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
@@ -153,6 +171,33 @@ def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
     return out
 
 
+def joined_aggregates(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
+    """Additive and distinct aggregates side by side, one row per group.
+
+    With ``sets`` (grouping sets over ``keys``) the rows of every set come
+    out together, tagged by ``gid``; rolled-up keys are NULL, so that join
+    is null-safe.
+    """
+    add = additive_aggregate(tx, keys, wins, sets)
+    dist = distinct_aggregate(tx, keys, wins, sets)
+    if not sets:
+        return add.join(dist, keys, "left")
+    d = dist.select(*[F.col(c).alias("__d_" + c) if c in keys or c == "gid" else F.col(c) for c in dist.columns])
+    cond = add["gid"] == d["__d_gid"]
+    for k in keys:
+        cond = cond & add[k].eqNullSafe(d["__d_" + k])
+    return add.join(d, cond, "left").drop(*["__d_" + c for c in keys + ["gid"]])
+
+
+def project_features(joined: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+    """Keys plus 94 metrics per window from ``joined_aggregates`` rows."""
+    keys_ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
+    exprs = [_q(k) for k in keys]
+    for w in wins:
+        exprs.extend(_window_exprs(w, keys_ok))
+    return joined.selectExpr(*exprs)
+
+
 def window_features(tx: DataFrame, grouping_keys, wins: Sequence[LookBack]) -> DataFrame:
     """Keys plus 94 metrics per window for every key present in ``tx``.
 
@@ -163,14 +208,7 @@ def window_features(tx: DataFrame, grouping_keys, wins: Sequence[LookBack]) -> D
     """
     keys = normalize_keys(grouping_keys)
     wins = list(wins)
-    add = additive_aggregate(tx, keys, wins)
-    dist = distinct_aggregate(tx, keys, wins)
-    joined = add.join(dist, keys, "left")
-    keys_ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
-    exprs = [_q(k) for k in keys]
-    for w in wins:
-        exprs.extend(_window_exprs(w, keys_ok))
-    return joined.selectExpr(*exprs)
+    return project_features(joined_aggregates(tx, keys, wins), keys, wins)
 
 
 def get_features(df: DataFrame, grouping_keys, window: str | Sequence[str] = None,

@@ -46,6 +46,34 @@ def collect_top_commodities(tx_with_commodity: DataFrame, n: int = TOP_N) -> lis
     return out
 
 
+def top_commodities_and_max_day(tx_with_commodity: DataFrame, select_date, n: int = TOP_N):
+    """The top-``n`` list and the latest day up to ``select_date``, one job.
+
+    Both come from one per-commodity aggregate (distinct baskets, latest
+    day up to the date).  The top-n branch and the max branch share that
+    aggregate's shuffle (exchange reuse), so the transactions are scanned
+    once; the driver receives n + 1 rows.
+    """
+    per = (tx_with_commodity.groupBy("commodity_desc")
+           .agg(F.count_distinct("basket_id").alias("purchases"),
+                F.max(F.when(F.col("day") <= F.lit(select_date), F.col("day"))).alias("last_day")))
+    top = (per.orderBy(F.col("purchases").desc(), F.col("commodity_desc").asc()).limit(n)
+           .select(F.lit(0).alias("part"), normalize_commodity("commodity_desc").alias("commodity_desc"),
+                   F.col("commodity_desc").alias("raw"), F.col("purchases"),
+                   F.lit(None).cast("date").alias("last_day")))
+    latest = per.agg(F.max("last_day").alias("last_day")).select(
+        F.lit(1).alias("part"), F.lit(None).cast("string").alias("commodity_desc"),
+        F.lit(None).cast("string").alias("raw"), F.lit(None).cast("long").alias("purchases"), "last_day")
+    rows = top.unionByName(latest).collect()
+    ranked = sorted((r for r in rows if r["part"] == 0), key=lambda r: (-r["purchases"], r["raw"] is not None, r["raw"] or ""))
+    names: list[str] = []
+    for r in ranked:
+        if r["commodity_desc"] not in names:
+            names.append(r["commodity_desc"])
+    max_day = next((r["last_day"] for r in rows if r["part"] == 1), None)
+    return names, max_day
+
+
 def distinct_households(tx: DataFrame) -> DataFrame:
     """Operator A9: every household with at least one transaction."""
     return tx.select("household_key").distinct()

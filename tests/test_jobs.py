@@ -68,3 +68,17 @@ def test_training_then_inference(spark, setup):
     assert out.count() == n_households
     assert out.filter(~F.col("prediction").isin(0, 1)).count() == 0
     assert out.filter((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
+
+
+def test_fused_build_equals_per_grain(spark):
+    from cartwise.operators import feature_tables as FT
+    tx = load_transactions(spark, SF001)
+    pr = load_products(spark, SF001, "p_name")
+    for d in ("2001-08-01", "2000-01-15"):
+        inp = FT.prepare(tx, pr, d)
+        fused = FT.all_feature_tables(inp)
+        for grain, build in FT.BUILDERS.items():
+            single = build(inp)
+            assert fused[grain].columns == single.columns
+            assert fused[grain].exceptAll(single).count() == 0
+            assert single.exceptAll(fused[grain]).count() == 0
