@@ -20,6 +20,7 @@ from cartwise.operators.features import grouping_set_id, joined_aggregates, proj
 from cartwise.operators.spine import (
     TOP_N, distinct_households, household_commodity_spine, top_commodities_and_max_day,
 )
+from cartwise.session import materialize
 from cartwise.sources.tables import with_commodity
 
 GRAIN_KEYS = {
@@ -117,8 +118,8 @@ def all_feature_tables(inp: FeatureInputs) -> dict[str, DataFrame]:
     (household), (commodity), (household, commodity); commodities outside
     the top list are blanked first, so their rows only feed the household
     set (their commodity groups carry a NULL key and match no spine row).
-    The joined aggregates (about 130 columns) are checkpointed to the
-    shared folder once; each table is then a filter, a projection and, for
+    The joined aggregates (about 130 columns) are written once as parquet
+    below the shared checkpoint folder; each table is then a filter, a projection and, for
     the two commodity grains, a left join to its spine.  The pair spine's
     households come from the household rows of the same aggregate.
     """
@@ -128,7 +129,7 @@ def all_feature_tables(inp: FeatureInputs) -> dict[str, DataFrame]:
         return {g: build(inp) for g, build in BUILDERS.items()}
     tx = inp.tx_asof.withColumn(c, F.when(F.col(c).isin(inp.top), F.col(c)))
     sets = [[h], [c], [h, c]]
-    joined = joined_aggregates(tx, keys, inp.windows, sets).checkpoint(eager=True)
+    joined = materialize(joined_aggregates(tx, keys, inp.windows, sets), "feature_aggregates")
 
     def grain(subset):
         part = joined.filter(F.col("gid") == grouping_set_id(keys, subset))

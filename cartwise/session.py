@@ -72,3 +72,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root.rstrip("/") + "/rdd")
     return root
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet below the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (a lost executor re-reads files
+    instead of recomputing the plan), but stores columnar, compressed data
+    in one job.  Each call gets a fresh folder.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
