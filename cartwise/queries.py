@@ -35,7 +35,7 @@ from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
 from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
-from cartwise.session import checkpoint_root
+from cartwise.session import checkpoint_root, reliable_checkpoint
 from cartwise.sources.store import FeatureStore, write_predictions
 from cartwise.sources.tables import load_products, load_transactions, transactions_asof, with_commodity
 
@@ -496,7 +496,7 @@ def _model_data(spark, sf_dir) -> DataFrame:
     """
     hf, cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
     ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True)
-    return assign_split(ts).checkpoint(eager=True)
+    return reliable_checkpoint(assign_split(ts))
 
 
 @register("train_model")

@@ -87,3 +87,13 @@ def materialize(df, name: str = "stage"):
     path = f"{checkpoint_root(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the shared folder.
+
+    Makes sure the SparkContext knows the folder first (sessions built
+    elsewhere may not have set it), then cuts the lineage.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
