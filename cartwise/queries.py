@@ -594,3 +594,64 @@ def q_predictions_table(spark, sf_dir):
     path = f"{checkpoint_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
     write_predictions(out, path)
     return spark.read.parquet(path)
+
+
+# --------------------------------------------------------------------------
+# the pieces of get_features under their own keys
+# --------------------------------------------------------------------------
+
+from cartwise.functions.metrics import AGGREGATES, DAYS_SINCE, RATIOS, output_name  # noqa: E402
+
+RATIO_GROUPS = {
+    "ratios_per_day": "days",
+    "ratios_per_days_in_set": "days_in_window",
+    "ratios_per_basket": "baskets",
+    "ratios_per_product": "products",
+    "ratios_per_line_item": "line_items",
+    "ratios_to_amount_list": "amount_list",
+}
+
+
+def _household_30d(spark, sf_dir):
+    return _q_get_features(spark, sf_dir, "household", "30d")
+
+
+def _subset_sql(cols: list[str], where: str | None = None) -> str:
+    inner = O.get_features_sql(["household_key"], "30d", FEATURE_DATE, FEATURE_COMMODITY)
+    sel = ", ".join(f'"{c}"' for c in ["household_key"] + cols)
+    return f"SELECT {sel} FROM ({inner})" + (f" WHERE {where}" if where else "")
+
+
+_SUMMARY_COLS = [output_name(a, "30d") for a in AGGREGATES]
+_SINCE_COLS = [output_name(n, "30d") for n, _ in DAYS_SINCE]
+
+
+@register("summary_household_30d", lambda: _subset_sql(_SUMMARY_COLS, '"line_items_30d" IS NOT NULL'))
+def q_summary_household_30d(spark, sf_dir):
+    """The 26 aggregates for households with rows in the 30-day window."""
+    return (_household_30d(spark, sf_dir).filter(F.col("line_items_30d").isNotNull())
+            .select("household_key", *_SUMMARY_COLS))
+
+
+@register("days_since_household_30d", lambda: _subset_sql(_SINCE_COLS))
+def q_days_since_household_30d(spark, sf_dir):
+    """The four days-since metrics (no lower date bound)."""
+    return _household_30d(spark, sf_dir).select("household_key", *_SINCE_COLS)
+
+
+def _ratio_cols(den: str) -> list[str]:
+    return [output_name(n, "30d") for n, _, d in RATIOS if d == den]
+
+
+for _key, _den in RATIO_GROUPS.items():
+    register(_key, partial(lambda den: _subset_sql(_ratio_cols(den)), _den))(
+        partial(lambda spark, sf_dir, den: _household_30d(spark, sf_dir).select("household_key", *_ratio_cols(den)),
+                den=_den))
+
+
+@register("project_keys", lambda: (
+    f"WITH {O.base_ctes()} SELECT DISTINCT household_key, {O.norm_sql('commodity_desc')} AS commodity_desc "
+    f"FROM txp WHERE \"day\" <= DATE '{FEATURE_DATE}'"))
+def q_project_keys(spark, sf_dir):
+    """The distinct grouping keys (anchor set) of the pair grain."""
+    return _asof_normalized(spark, sf_dir).select("household_key", "commodity_desc").distinct()
