@@ -80,22 +80,30 @@ def feature_lookup(spine: DataFrame, table: DataFrame, grain: str, broadcast_tab
 
 
 def lookup_all(spine: DataFrame, household: DataFrame, commodity: DataFrame,
-               household_commodity: DataFrame) -> DataFrame:
+               household_commodity: DataFrame, select_date=None) -> DataFrame:
     """Operator J6: the three lookups chained, each a left join.
 
-    Tables are narrowed to the spine's dates (and, for the pair table, its
-    commodities) before the join; with feature tables partitioned by
-    ``select_date`` these become partition filters on the scan.
+    With ``select_date`` every table is narrowed to that date first (a
+    partition filter on store tables).  The commodity table is then at most
+    top-n rows, the one side broadcast explicitly; without a date it is
+    joined like the others and AQE decides.
     """
+    if select_date is not None:
+        d = F.lit(as_date(select_date))
+        household = household.filter(F.col("select_date") == d)
+        commodity = commodity.filter(F.col("select_date") == d)
+        household_commodity = household_commodity.filter(F.col("select_date") == d)
     out = feature_lookup(spine, household, "household")
-    out = feature_lookup(out, commodity, "commodity", broadcast_table=True)
+    out = feature_lookup(out, commodity, "commodity", broadcast_table=select_date is not None)
     return feature_lookup(out, household_commodity, "household_commodity")
 
 
 def training_set(label_df: DataFrame, household: DataFrame, commodity: DataFrame,
-                 household_commodity: DataFrame, keep_keys: bool = False) -> DataFrame:
-    """Operator G10: labels + looked-up features, key columns excluded (P10)."""
-    out = lookup_all(label_df, household, commodity, household_commodity)
+                 household_commodity: DataFrame, keep_keys: bool = False, select_date=None) -> DataFrame:
+    """Operator G10: labels + looked-up features, key columns excluded (P10).
+
+    ``select_date`` is the labels' feature date (select date - 30)."""
+    out = lookup_all(label_df, household, commodity, household_commodity, select_date)
     return out if keep_keys else out.drop(*KEY_COLUMNS)
 
 
@@ -110,7 +118,7 @@ def scoring_set(transactions: DataFrame, commodity: str, select_date, household:
                 commodity_table: DataFrame, household_commodity: DataFrame) -> DataFrame:
     """Operator G11: the scoring spine with the three lookups, keys kept."""
     return lookup_all(scoring_spine(transactions, commodity, select_date), household,
-                      commodity_table, household_commodity)
+                      commodity_table, household_commodity, select_date)
 
 
 @dataclass(frozen=True)

@@ -309,8 +309,9 @@ def _lookup_sql(spine_cte: str, select_date: str, keep_keys: bool) -> str:
                                                str(_period().features_end_day), keep_keys=False))
 def q_training_set(spark, sf_dir):
     """Labels + 1,128 looked-up features, keys excluded."""
-    hf, cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
-    return training_set(_labels(spark, sf_dir), hf, cf, hcf)
+    fed = _period().features_end_day
+    hf, cf, hcf = _feature_tables(spark, sf_dir, fed)
+    return training_set(_labels(spark, sf_dir), hf, cf, hcf, select_date=fed)
 
 
 def _scoring_sql():
@@ -494,8 +495,9 @@ def _model_data(spark, sf_dir) -> DataFrame:
     Every boosting iteration and every tuning trial reads it again; the
     checkpoint cuts the feature-build lineage so they read stored rows.
     """
-    hf, cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
-    ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True)
+    fed = _period().features_end_day
+    hf, cf, hcf = _feature_tables(spark, sf_dir, fed)
+    ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True, select_date=fed)
     return reliable_checkpoint(assign_split(ts))
 
 
