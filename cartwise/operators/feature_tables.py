@@ -111,7 +111,7 @@ def household_commodity_features(inp: FeatureInputs) -> DataFrame:
     return _finish(spine.join(wf, keys, "left"), keys, inp.select_date)
 
 
-def all_feature_tables(inp: FeatureInputs) -> dict[str, DataFrame]:
+def all_feature_tables(inp: FeatureInputs, stage: str | None = None) -> dict[str, DataFrame]:
     """G2-G4 together: one history scan and one window scan for all grains.
 
     The transactions are aggregated once with ``GROUPING SETS`` over
@@ -129,7 +129,7 @@ def all_feature_tables(inp: FeatureInputs) -> dict[str, DataFrame]:
         return {g: build(inp) for g, build in BUILDERS.items()}
     tx = inp.tx_asof.withColumn(c, F.when(F.col(c).isin(inp.top), F.col(c)))
     sets = [[h], [c], [h, c]]
-    joined = materialize(joined_aggregates(tx, keys, inp.windows, sets), "feature_aggregates")
+    joined = materialize(joined_aggregates(tx, keys, inp.windows, sets), "feature_aggregates", stage)
 
     def grain(subset):
         part = joined.filter(F.col("gid") == grouping_set_id(keys, subset))

@@ -74,21 +74,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def materialize(df, name: str = "stage"):
+def stage_path(spark: SparkSession, name: str = "stage") -> str:
+    """A fresh folder below the shared checkpoint folder."""
+    import uuid
+
+    return f"{checkpoint_root(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage", path: str | None = None):
     """Write ``df`` as parquet below the shared folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` (a lost executor re-reads files
     instead of recomputing the plan), but stores columnar, compressed data
-    in one job.  Each call gets a fresh folder.
+    in one job.  Each call gets a fresh folder unless ``path`` is given;
+    ``remove_path`` deletes it once every reader has finished.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/materialized/{name}-{uuid.uuid4().hex}"
+    path = path or stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder this package wrote (any Hadoop filesystem)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint(eager=True)`` into the shared folder.
 

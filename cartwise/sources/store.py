@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cartwise.session import checkpoint_root
+from cartwise.session import checkpoint_root, remove_path
 
 PARTITION = "select_date"
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
+def _fs_exists(spark: SparkSession, path: str) -> bool:  # noqa: D103
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -127,6 +127,7 @@ class FeatureStore:
         if partitioned and mode == "merge":
             w = w.option("partitionOverwriteMode", "dynamic")
         w.parquet(self.path(name))
+        remove_path(self.spark, staging)  # the table write has committed
 
     # -- S3: key check ----------------------------------------------------
     def key_check(self, name: str) -> DataFrame:
