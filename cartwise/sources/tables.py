@@ -31,6 +31,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ensure_parallelism(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster can run.
+
+    A fact table stored as a few unsplittable files (one parquet row group
+    each) scans in a handful of tasks, and all map-side work (joins,
+    stacking, partial aggregation) then runs on a few cores.  Below the
+    target the rows are redistributed round-robin once, right after the
+    scan and projection; a table of many files is left alone (no shuffle).
+    """
+    spark = df.sparkSession
+    target = target or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with household, basket, day and money columns.
 
@@ -38,7 +54,8 @@ def load_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     so the join is left to Catalyst/AQE (sort-merge on the order key, or a
     broadcast when AQE measures one side under the broadcast threshold).
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    li = ensure_parallelism(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"))
     o = read_table(spark, sf_dir, "orders")
     price = F.col("l_extendedprice")
     tax = price * F.col("l_tax")
