@@ -6,13 +6,17 @@ eager min/max job, one aggregate with 14 ``count(distinct ...)`` expressions
 expression), a second full scan for the days-since metrics, two joins and
 188 chained projections - twelve times per run.
 
-Here one call computes every window of a grain with two aggregates:
+Here one call computes every window of a grain with three aggregates:
 
-``additive``  one hash aggregate over the whole history up to the select
-              date: row counts, non-null counts, money sums and conditional
-              counts per window (conditional aggregation, ``sum(when(...))``),
-              plus the days-since components for each distinct window end.
-              Map-side partial aggregation makes it insensitive to hot keys.
+``history``   one hash aggregate over the whole history up to the select
+              date holding only the days-since components (latest day with
+              each discount, whether any row lacks it) per window end; its
+              groups are the anchor keys.
+
+``additive``  one hash aggregate over in-window rows only: row counts,
+              non-null counts, money sums and conditional counts per window
+              (conditional aggregation, ``sum(CASE WHEN ...)``).  Map-side
+              partial aggregation makes both insensitive to hot keys.
 
 ``distinct``  the 14 distinct counts per window through an *entity stack*:
               each in-window row is emitted once per entity kind (day,
@@ -22,8 +26,8 @@ Here one call computes every window of a grain with two aggregates:
               key holding a third of all rows spreads over all reducers; the
               second level is partially aggregated before its shuffle.
 
-Both outputs are keyed by ``keys`` and hash partitioned the same way, so the
-final left join needs no further exchange.  Ratios are ``try_divide``
+All outputs are keyed by ``keys`` and hash partitioned the same way, so the
+final left joins need no further exchange.  Ratios are ``try_divide``
 (NULL on a zero or NULL denominator), all metrics are cast to double and
 named ``<metric>_<window>`` in one projection.
 """
@@ -92,8 +96,37 @@ def grouping_set_id(keys: list[str], subset: list[str]) -> int:
     return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in subset)
 
 
+def _in_any_window(wins: Sequence[LookBack]) -> str:
+    """SQL predicate: the row lies in at least one window (pushed to the scan)."""
+    return " OR ".join(f"(day BETWEEN {_d(lo)} AND {_d(end)})" for end, lo in _end_groups(wins).items())
+
+
+def history_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
+    """Days-since parts over the whole history up to each window end.
+
+    The only metrics without a lower date bound.  Per distinct window end:
+    whether any row exists, the latest day with each discount, and whether
+    any row lacks it - nine cheap ``max`` aggregates, no sums.  Its groups
+    are every key of ``tx`` (the anchor set).
+    """
+    aggs: list[str] = []
+    for end in _end_groups(wins):
+        upto = f"day <= {_d(end)}"
+        t = _tag(end)
+        aggs.append(f"max(CASE WHEN {upto} THEN 1 END) AS {_q('any__' + t)}")
+        for d in DISCOUNTS:
+            aggs.append(f"max(CASE WHEN {upto} AND {_q(d)} > 0 THEN day END) AS {_q('last_' + d + '__' + t)}")
+            aggs.append(f"max(CASE WHEN {upto} AND NOT coalesce({_q(d)} > 0, false) THEN 1 END) "
+                        f"AS {_q('rest_' + d + '__' + t)}")
+    grouped, gid = _grouped(tx.select(*keys, "day", *DISCOUNTS), keys, sets)
+    return grouped.agg(*[F.expr(a) for a in gid + aggs])
+
+
 def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
-    """Counts, sums and days-since components for every window, one pass."""
+    """Row counts, non-null counts, sums and conditional counts per window.
+
+    Reads only rows inside some window (the predicate reaches the scan).
+    """
     aggs: list[str] = []
     for w in wins:
         inw = f"day BETWEEN {_d(w.start)} AND {_d(w.end)}"
@@ -104,22 +137,14 @@ def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack],
         for d in DISCOUNTS:
             aggs.append(f"sum(CASE WHEN {inw} AND {_q(d)} > 0 THEN 1 END) "
                         f"AS {_q('line_items_with_' + d + '__' + w.name)}")
-    for end in _end_groups(wins):
-        upto = f"day <= {_d(end)}"
-        t = _tag(end)
-        aggs.append(f"max(CASE WHEN {upto} THEN 1 END) AS {_q('any__' + t)}")
-        for d in DISCOUNTS:
-            aggs.append(f"max(CASE WHEN {upto} AND {_q(d)} > 0 THEN day END) AS {_q('last_' + d + '__' + t)}")
-            aggs.append(f"max(CASE WHEN {upto} AND NOT coalesce({_q(d)} > 0, false) THEN 1 END) "
-                        f"AS {_q('rest_' + d + '__' + t)}")
-    grouped, gid = _grouped(tx, keys, sets)
+    grouped, gid = _grouped(tx.filter(F.expr(_in_any_window(wins))), keys, sets)
     return grouped.agg(*[F.expr(a) for a in gid + aggs])
 
 
 def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
     """The 14 distinct counts per window via the two-level entity stack."""
     groups = _end_groups(wins)
-    in_any = " OR ".join(f"(day BETWEEN {_d(lo)} AND {_d(end)})" for end, lo in groups.items())
+    in_any = _in_any_window(wins)
     kq = [_q(k) for k in keys]
     stack = (f"stack(3, {_KIND['days']}, CAST(unix_date(day) AS BIGINT), "
              f"{_KIND['baskets']}, CAST(basket_id AS BIGINT), "
@@ -172,21 +197,29 @@ def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
 
 
 def joined_aggregates(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
-    """Additive and distinct aggregates side by side, one row per group.
-
-    With ``sets`` (grouping sets over ``keys``) the rows of every set come
-    out together, tagged by ``gid``; rolled-up keys are NULL, so that join
-    is null-safe.
+    """History, window and distinct aggregates side by side, one row per key.
+
+    The history aggregate holds every key (the anchor set); the other two
+    only keys with in-window rows, so they are left-joined.  All three are
+    hash partitioned on the keys, so the joins add no exchange.  With
+    ``sets`` (grouping sets over ``keys``) the rows of every set come out
+    together, tagged by ``gid``; rolled-up keys are NULL, so those joins are
+    null-safe.
     """
-    add = additive_aggregate(tx, keys, wins, sets)
-    dist = distinct_aggregate(tx, keys, wins, sets)
-    if not sets:
-        return add.join(dist, keys, "left")
-    d = dist.select(*[F.col(c).alias("__d_" + c) if c in keys or c == "gid" else F.col(c) for c in dist.columns])
-    cond = add["gid"] == d["__d_gid"]
-    for k in keys:
-        cond = cond & add[k].eqNullSafe(d["__d_" + k])
-    return add.join(d, cond, "left").drop(*["__d_" + c for c in keys + ["gid"]])
+    hist = history_aggregate(tx, keys, wins, sets)
+    parts = [additive_aggregate(tx, keys, wins, sets), distinct_aggregate(tx, keys, wins, sets)]
+    out = hist
+    for i, part in enumerate(parts):
+        if not sets:
+            out = out.join(part, keys, "left")
+            continue
+        tag = f"__p{i}_"
+        p = part.select(*[F.col(c).alias(tag + c) if c in keys or c == "gid" else F.col(c) for c in part.columns])
+        cond = out["gid"] == p[tag + "gid"]
+        for k in keys:
+            cond = cond & out[k].eqNullSafe(p[tag + k])
+        out = out.join(p, cond, "left").drop(*[tag + c for c in keys + ["gid"]])
+    return out
 
 
 def project_features(joined: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
