@@ -657,3 +657,26 @@ for _key, _den in RATIO_GROUPS.items():
 def q_project_keys(spark, sf_dir):
     """The distinct grouping keys (anchor set) of the pair grain."""
     return _asof_normalized(spark, sf_dir).select("household_key", "commodity_desc").distinct()
+
+
+# --------------------------------------------------------------------------
+# file-arrival refresh (the daily rerun of the feature job, as a stream)
+# --------------------------------------------------------------------------
+
+@register("feature_refresh_stream", lambda: O.feature_table_sql("household", FEATURE_DATE, FEATURE_COMMODITY))
+def q_feature_refresh_stream(spark, sf_dir):
+    """The transactions arrive as files; the stream runs the feature job for
+    the latest arrived day and merges the tables; the household table is
+    read back (the last day in the data is the feature date)."""
+    from cartwise.streaming.refresh import start_feature_refresh
+
+    root = f"{checkpoint_root(spark).rstrip('/')}/query-stream-{uuid.uuid4().hex}"
+    tx = _tx(spark, sf_dir)
+    tx.write.mode("overwrite").parquet(f"{root}/arrivals")
+    store = FeatureStore(spark, f"{root}/store")
+    q = start_feature_refresh(spark, f"{root}/arrivals", tx.schema, _products(spark, sf_dir), store,
+                              checkpoint_location=f"{root}/stream-checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return store.read_table(TABLE_NAMES["household"], FEATURE_DATE)
