@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from cartwise.functions.dates import label_period, resolve_windows
 from cartwise.functions.metrics import feature_columns, metric_names
