@@ -121,6 +121,21 @@ def scoring_set(transactions: DataFrame, commodity: str, select_date, household:
                       commodity_table, household_commodity, select_date)
 
 
+def lookup_coverage(looked_up: DataFrame) -> DataFrame:
+    """How many spine rows found a row in each feature table (decision D9).
+
+    A lookup at a date the feature job never wrote matches nothing and the
+    model would see all-zero inputs; this one-row aggregate makes that
+    visible.  Presence is judged on each table's first looked-up column.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for grain, prefix in PREFIX.items():
+        first = next((c for c in looked_up.columns if c.startswith(prefix)), None)
+        hit = F.count(F.col(first)) if first else F.lit(0).cast("long")
+        aggs.append(hit.alias(f"{grain}_hits"))
+    return looked_up.agg(*aggs)
+
+
 @dataclass(frozen=True)
 class ClassBalance:
     total: int

@@ -27,7 +27,7 @@ from cartwise.operators.features import get_features
 from cartwise.operators import model as M
 from cartwise.operators.evaluate import average_precision, confusion_metrics, roc_auc
 from cartwise.operators.labels import (
-    class_balance, feature_lookup, labels, positive_labels, scoring_set, training_set,
+    class_balance, feature_lookup, labels, lookup_coverage, positive_labels, scoring_set, training_set,
 )
 from cartwise.operators.registry import AUC_GATE, CHAMPION, latest_version, promote, version_for_alias
 from cartwise.operators.split import assign_split, split_bucket_sql
@@ -680,3 +680,20 @@ def q_feature_refresh_stream(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return store.read_table(TABLE_NAMES["household"], FEATURE_DATE)
+
+
+@register("lookup_coverage", lambda: (
+    f"WITH {O.base_ctes(LABEL_COMMODITY_COLUMN)}, "
+    f"hf AS ({O.feature_table_sql('household', LABEL_DATE, LABEL_COMMODITY_COLUMN)}), "
+    f"cf AS ({O.feature_table_sql('commodity', LABEL_DATE, LABEL_COMMODITY_COLUMN)}), "
+    f"hcf AS ({O.feature_table_sql('household_commodity', LABEL_DATE, LABEL_COMMODITY_COLUMN)}), "
+    f"sp AS (SELECT DISTINCT household_key, '{LABEL_COMMODITY}' AS commodity_desc, DATE '{LABEL_DATE}' AS select_date FROM txn) "
+    "SELECT count(*) AS \"rows\", count(hf.days_30d) AS household_hits, count(cf.days_30d) AS commodity_hits, "
+    "count(hcf.days_30d) AS household_commodity_hits FROM sp "
+    "LEFT JOIN hf ON sp.household_key = hf.household_key AND sp.select_date = hf.select_date "
+    "LEFT JOIN cf ON sp.commodity_desc = cf.commodity_desc AND sp.select_date = cf.select_date "
+    "LEFT JOIN hcf ON sp.household_key = hcf.household_key AND sp.commodity_desc = hcf.commodity_desc "
+    "AND sp.select_date = hcf.select_date"))
+def q_lookup_coverage(spark, sf_dir):
+    """Scoring rows that found household, commodity and pair features."""
+    return lookup_coverage(q_scoring_set(spark, sf_dir))
