@@ -73,3 +73,13 @@ def test_commodity_without_rows_before_date_gets_zeros(spark):
     assert cm["early"]["line_items_60d"] == 1.0
     hc = FT.household_commodity_features(inp)
     assert hc.count() == 2 and hc.filter(F.col("commodity_desc") == "late").first()["line_items_90d"] == 0.0
+
+
+def test_product_dimension_is_unique(spark):
+    # The product join has no uniqueness guarantee; duplicates would
+    # fan out every metric, so the test data's dimension is checked here
+    from cartwise.sources.store import key_check
+    from cartwise.sources.tables import load_products
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        r = key_check(load_products(spark, sf), ["product_id"]).first()
+        assert r["duplicate_keys"] == 0 and r["rows"] == r["distinct_keys"]
