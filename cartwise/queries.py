@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import day_bounds, label_period, window_bounds_frame
-from cartwise.functions.metrics import MONEY, WINDOW_ORDER, WINDOWS
+from cartwise.functions.metrics import (
+    AGGREGATES, DAYS_SINCE, MONEY, RATIOS, WINDOW_ORDER, WINDOWS, feature_columns, output_name,
+)
 from cartwise.functions.text import normalize_commodity
 from cartwise.oracle import sql as O
 from cartwise.operators import feature_tables as FT
@@ -289,7 +291,6 @@ def _feature_tables(spark, sf_dir, select_date):
 
 def _lookup_sql(spine_cte: str, select_date: str, keep_keys: bool) -> str:
     """Oracle: the spine CTE ``sp`` left-joined to three feature tables."""
-    from cartwise.functions.metrics import feature_columns
     cols = feature_columns()
     parts = [f"hf AS ({O.feature_table_sql('household', select_date, LABEL_COMMODITY_COLUMN)})",
              f"cf AS ({O.feature_table_sql('commodity', select_date, LABEL_COMMODITY_COLUMN)})",
@@ -602,8 +603,6 @@ def q_predictions_table(spark, sf_dir):
 # the pieces of get_features under their own keys
 # --------------------------------------------------------------------------
 
-from cartwise.functions.metrics import AGGREGATES, DAYS_SINCE, RATIOS, output_name  # noqa: E402
-
 RATIO_GROUPS = {
     "ratios_per_day": "days",
     "ratios_per_days_in_set": "days_in_window",
