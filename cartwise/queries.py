@@ -37,7 +37,7 @@ from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
 from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
-from cartwise.session import checkpoint_root, reliable_checkpoint
+from cartwise.session import bound_plan_strings, checkpoint_root, reliable_checkpoint
 from cartwise.sources.store import FeatureStore, write_predictions
 from cartwise.sources.tables import load_products, load_transactions, transactions_asof, with_commodity
 
@@ -68,6 +68,7 @@ def oracle_registry() -> dict[str, str]:
 
 
 def _tx(spark, sf_dir):
+    bound_plan_strings(spark)
     return load_transactions(spark, sf_dir)
 
 
@@ -523,7 +524,7 @@ def q_tune_model(spark, sf_dir):
     bal = class_balance(data).first()
     cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"])
     res = M.tune(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate"), feats,
-                 cands, parallelism=min(4, spark.sparkContext.defaultParallelism))
+                 cands, parallelism=M.tuning_parallelism(spark))
     return M.trials_frame(spark, res)
 
 

@@ -110,3 +110,26 @@ def reliable_checkpoint(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_PLAN_STRING_LIMIT = "200000"
+
+
+def bound_plan_strings(spark: SparkSession) -> None:
+    """Cap the plan text Spark keeps per execution, unless the user set it.
+
+    The status store keeps a description of every recent execution; the
+    plans of the wide feature tables run to megabytes each.  The cap only
+    shortens that text (and ``explain`` output); it changes no result.
+    """
+    try:
+        current = spark.conf.get("spark.sql.maxPlanStringLength")
+    except Exception:  # noqa: BLE001
+        current = None
+    if current is None or current.strip().lower().rstrip("b") in ("", str(2**31 - 16), "2147483632"):
+        spark.conf.set("spark.sql.maxPlanStringLength", _PLAN_STRING_LIMIT)
+
+
+def heap_gib(spark: SparkSession) -> float:
+    """The driver JVM's maximum heap (in local mode, the executors' too)."""
+    return spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2**30
