@@ -47,3 +47,21 @@ def test_normalize(spark, raw, expected):
 
 def test_normalize_null(spark):
     assert spark.createDataFrame([(None,)], "c string").select(normalize_commodity("c")).first()[0] is None
+
+
+def test_window_bounds_frame_matches_resolver(spark):
+    from cartwise.functions.dates import window_bounds_frame
+    bounds = spark.createDataFrame([(dt.date(1995, 1, 1), dt.date(2001, 8, 1))], "min_day date, max_day date")
+    rows = {r["window"]: r for r in window_bounds_frame(spark, bounds).collect()}
+    for w in resolve_windows("2001-08-01"):
+        r = rows[w.name]
+        assert (r["min_day"], r["max_day"], r["days_in_window"]) == (w.start, w.end, w.days_in_window)
+
+
+def test_get_features_with_given_max_day(spark):
+    from cartwise.operators.features import get_features
+    from .conftest import FIXTURE_ROWS, FIXTURE_SCHEMA
+    df = spark.createDataFrame(FIXTURE_ROWS, FIXTURE_SCHEMA)
+    a = get_features(df, ["household_key"], "30d").orderBy("household_key").collect()
+    b = get_features(df, ["household_key"], "30d", max_day=dt.date(2023, 1, 2)).orderBy("household_key").collect()
+    assert a == b
