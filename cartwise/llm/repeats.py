@@ -106,8 +106,14 @@ class _Shard:
             yield begin, doc, at + LENGTH <= self.ends[doc], values
 
 
+def _spread(least: np.ndarray) -> np.ndarray:
+    """Smallest hashes crowd near zero; this spreads them evenly again."""
+    out = least * np.uint64(0x94D049BB133111EB)
+    return (out ^ out >> np.uint64(29)) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
 def _anchors(values: np.ndarray) -> np.ndarray:
-    return _sliding_min(_rolling(values, ANCHOR), LENGTH - ANCHOR + 1) >> np.uint64(64 - _HASH_BITS)
+    return _spread(_sliding_min(_rolling(values, ANCHOR), LENGTH - ANCHOR + 1)) >> np.uint64(64 - _HASH_BITS)
 
 
 def _packed(sorted_hashes: np.ndarray) -> bytes:
@@ -193,7 +199,7 @@ def _stretches(shard: _Shard, shared: np.ndarray) -> Iterator[tuple[np.ndarray,
         wanted = whole & (shared[at] == anchor) if len(shared) else np.zeros(len(whole), bool)
         if not wanted.any():
             continue
-        route = _sliding_min(_rolling(values, ROUTE), LENGTH - ROUTE + 1)
+        route = _spread(_sliding_min(_rolling(values, ROUTE), LENGTH - ROUTE + 1))
         here = np.flatnonzero(wanted)
         new = np.ones(len(here), bool)
         new[1:] = (np.diff(here) != 1) | (route[here[1:]] != route[here[:-1]]) | (doc[here[1:]] != doc[here[:-1]])
