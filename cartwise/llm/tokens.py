@@ -28,6 +28,10 @@ MEMO_WORDS = 150_000
 #: White space as the vocabularies' patterns see it, two or more.
 _SPACE_RUN = re.compile("[\t-\r \x85\xa0  -     　]{2,}")
 _SAFE_SPLIT = re.compile(r"(?<=\S) (?=\S)")
+#: 1: space or line feed, 2: other white space, 0: the rest (by code point).
+_KIND = np.zeros(0x3002, np.uint8)
+_KIND[[*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = 2
+_KIND[[10, 32]] = 1
 #: Pieces whose prefixes the pattern splits differently from the whole.
 _CONTRACTIONS = ("'re", "'ve", "'ll")
 
@@ -56,29 +60,57 @@ class _Memo(dict):
 class WordIds:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, limit: int = MEMO_WORDS):
+    def __init__(self, path: str, limit: int = 2 * MEMO_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.memo = _Memo(self._word, limit)
+        self.stems = _Memo(self._stem, limit)
         self.tails = _Memo(self._library, 1000)
+        self.letters = _Memo(self._letter, 5000)
 
     def _library(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+
+    @staticmethod
+    def _pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _letter(self, c: str) -> str:
+        """A Latin letter in the model's alphabet; empty if it isn't one letter after normalisation."""
+        plain = self.tokenizer.normalizer.normalize_str(c)
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(plain)[0][0] if len(plain) == 1 and plain.isalpha() else ""
+
+    def _stem(self, stem: str) -> bytes:
+        """Letters only: one piece, which the model takes normalised; empty if that is not certain."""
+        if stem.isascii():
+            piece = stem.lower()
+        elif max(stem) < "\u0250":  # precomposed Latin letters never combine with each other
+            letters = list(map(self.letters.__getitem__, stem))
+            if "" in letters:
+                return b""
+            piece = "".join(letters)
+        else:
+            return b""
+        return self._pack([t.id for t in self.model.tokenize(piece)])
 
     def _word(self, word: str) -> bytes:
         stem = word.rstrip(".,")
-        if not (stem.isascii() and stem.isalpha()):
+        ids = self.stems[stem] if stem.isalpha() else b""
+        if not ids:
             return self._library(word)
-        # a plain ASCII word is one piece, which the model takes lower-cased
-        ids = np.array([t.id for t in self.model.tokenize(stem.lower())], "<u4").tobytes()
         return ids + self.tails[word[len(stem):]] if len(stem) < len(word) else ids
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(map(self.memo.__getitem__, text.replace("\n", " ").split(" ")))
+        words = text.replace("\n", " ").split(" ")
+        parts = list(map(self.memo.get, words))
+        if None in parts:
+            memo = self.memo
+            parts = [memo[w] if x is None else x for w, x in zip(words, parts, strict=True)]
+        return b"".join(parts)
 
 
 class PrefixCounts:
@@ -103,42 +135,54 @@ class PrefixCounts:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(sorted((re.escape(t.content) for t in added), key=len, reverse=True)) or r"(?!)")
         self.vocab = set(self.tokenizer.get_vocab(with_added_tokens=False))
-        self.longest = max(map(len, self.vocab))
+        lengths: dict[str, set[int]] = {}
+        for t in self.vocab:
+            lengths.setdefault(t[-3:], set()).add(len(t))
+        #: Lengths of the entries that end in three bytes, longest first, and the short ones.
+        self.lengths = {tail: (*sorted((n for n in ns if n > 2), reverse=True), 2, 1) for tail, ns in lengths.items() if len(tail) == 3}
         self.apart = _Memo(self._apart, limit)
         self.space = self.split(" ")[0][0]
         self.char = _Memo(lambda c: self.split(c)[0][0], 5000)
-        self.begun, self.stems = _Memo(None, limit // 2), _Memo(self._stem, limit)
-        self.first = _Memo(lambda w: self._word("", w), limit // 10)
+        self.begun = _Memo(None, 2 * limit)
+        self.first = _Memo(lambda w: self._word("", w) if w[0].isalpha() else self._chunk(w), limit // 10)
         self.later = _Memo(lambda w: self._word(" ", w), limit)
 
-    def _apart(self, pair: tuple[str, str]) -> bool:
-        return [t.value for t in self.model.tokenize("".join(pair))] == [x for x in pair if x]
+    def _apart(self, pair: str) -> bool:
+        """Whether two entries, given with a space between, stay apart (or one is its own encoding)."""
+        return " ".join(t.value for t in self.model.tokenize(pair.replace(" ", ""))) == pair.lstrip(" ")
 
     def _piece(self, s: str) -> list[int]:
         """Counts after each byte of one piece in the byte alphabet.
 
         Words that begin alike share the steps of the beginning, which are
-        kept for every fourth length.
+        kept (count and length of the last entry, a byte each) for every
+        second length.
         """
-        vocab, apart, longest, begun = self.vocab, self.apart, self.longest, self.begun
-        counts, last = [0], [""]
-        for j in range(min(len(s), 24) & ~3, 0, -4):
-            known = begun.get(s[:j]) or begun.old.get(s[:j])
+        vocab, apart, lengths, short = self.vocab, self.apart, self.lengths, (2, 1)
+        kept, old, n = self.begun, self.begun.old, len(s)
+        make = bytearray if n <= 200 else list
+        counts, sizes = make(b"\0"), make(b"\0")
+        for j in range(min(n, 24) & ~1, 0, -2):
+            start = s[:j]
+            known = kept.get(start) or old.get(start)
             if known:
-                counts, last = known[0][:j + 1], known[1][:j + 1]
+                counts, sizes = make(known[:j + 1]), make(known[j + 1:])
                 break
-        for j in range(len(counts), len(s) + 1):
-            for size in range(min(j, longest), 0, -1):
-                t = s[j - size:j]
-                if t in vocab and apart[last[j - size], t]:
-                    counts.append(counts[j - size] + 1)
-                    last.append(t)
+        for j in range(len(counts), n + 1):
+            for size in lengths.get(s[j - 3:j], short) if j > 2 else short:
+                at = j - size
+                if at < 0:
+                    continue
+                t = s[at:j]
+                if t in vocab and apart[f"{s[at - sizes[at]:at]} {t}"]:
+                    counts.append(counts[at] + 1)
+                    sizes.append(size)
                     break
             else:
                 raise ValueError("the vocabulary lacks a byte")
-            if not j & 3 and j <= 24:
-                begun.keep(s[:j], (counts, last))
-        return counts[1:]
+            if not j & 1 and j <= 24:
+                kept.keep(s[:j], bytes(counts + sizes))
+        return list(counts)[1:]
 
     def _stem(self, stem: str) -> list[int]:
         """Prefix counts of letters, after a space if there is one."""
@@ -153,20 +197,24 @@ class PrefixCounts:
         return out
 
     def _word(self, space: str, word: str) -> bytes:
-        """Prefix counts of what stands between two splits; ``space`` begins it."""
-        counts: list[int] = []
-        for k, line in enumerate(word.split("\n")):
-            stem = line.rstrip(".,")
-            if not stem.isalpha():
-                return self._chunk(space + word)
-            if k:  # a line feed between two other characters is a piece
-                counts.append(counts[-1] + 1)
-            base = counts[-1] if k else 0
-            part = self.stems[stem if k else space + stem]
-            counts += [base + c for c in part] if base else part
-            if len(stem) < len(line):
-                base = counts[-1]
-                counts += [base + c for c in self._piece(line[len(stem):])]
+        """Prefix counts of what stands between two splits; ``space`` begins it.
+
+        A word that begins with a line feed has that instead of the space; a
+        line feed between two other characters is one token.
+        """
+        base = 0
+        if word[0] == "\n":
+            space, word, base = "", word[1:], 1
+        stem = word.rstrip(".,")
+        if stem.isalpha():
+            counts = self._stem(space + stem)
+            if len(stem) < len(word):
+                last = counts[-1]
+                counts += [last + c for c in self._piece(word[len(stem):])]
+        else:
+            counts = np.frombuffer(self._chunk(space + word), "<u4").tolist()
+        if base:
+            counts = [1] + [1 + c for c in counts]
         return struct.pack(f"<{len(counts)}I", *counts)
 
     def _segment(self, text: str) -> list[int]:
@@ -211,18 +259,26 @@ class PrefixCounts:
     def counts(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(1, np.uint32)
-        words = text.split(" ")
-        if "" in words or list(map(str.strip, words)) != words or self.special.search(text):
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = _KIND[np.minimum(points, len(_KIND) - 1)]
+        gaps = np.flatnonzero(kind == 1)
+        alone = not (kind[0] or kind[-1]) and not (kind[gaps - 1].any() or kind[gaps + 1].any())
+        if alone and not self.special.search(text):  # every space and line feed stands between two other characters
+            words = text.replace("\n", " \n").split(" ")
+        else:
             words = _SAFE_SPLIT.split(text)
-        parts = [self.first[words[0]], *map(self.later.__getitem__, words[1:])]
-        inner = np.frombuffer(b"".join(parts), "<u4")
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        ends = np.cumsum(sizes)
-        bases = np.zeros(len(parts), np.uint32)
-        np.cumsum(inner[ends[:-1] - 1], out=bases[1:])
-        out = np.empty(len(inner) + 1, np.uint32)
+            gaps = np.cumsum([len(w) + 1 for w in words])[:-1] - 1
+        parts = list(map(self.later.get, words))
+        parts[0] = self.first[words[0]]
+        if None in parts:
+            later = self.later
+            parts = [later[w] if x is None else x for w, x in zip(words, parts, strict=True)]
+        out = np.empty(len(points) + 1, np.uint32)
         out[0] = 0
-        np.add(inner, np.repeat(bases, sizes), out=out[1:])
+        out[1:] = np.frombuffer(b"".join(parts), "<u4")
+        bases = np.cumsum(out[gaps], dtype=np.uint32)  # tokens before each gap
+        if len(gaps):
+            out[1 + gaps[0]:] += np.repeat(bases, np.diff(np.append(gaps, len(points))))
         return out
 
 
