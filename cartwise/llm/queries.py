@@ -29,7 +29,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "token-store")
     T.write_tokens(table(spark, sf_dir, "documents"), path, WORD_TOKENIZER, STORE_END_ID)
-    return T.read_tokens(spark, path).select("doc_id", "start", "n_tokens", T.ids_crc32("ids").alias("ids_crc32"))
+    return T.with_crc32(T.read_tokens(spark, path))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

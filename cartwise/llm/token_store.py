@@ -19,7 +19,7 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
@@ -50,26 +50,26 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
     )
     end = np.array([end_id], "<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, start = coder(WordIds, tokenizer).encode, TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.frombuffer(encode(text) + end, "<i4")
-                rows.append((None if pd.isna(doc_id) else int(doc_id), part, start, len(ids), ids))
-                start, held = start + len(ids), held + len(ids)
-                if held >= BATCH_IDS:
-                    yield _frame(rows)
-                    rows, held = [], 0
-            if rows:
-                yield _frame(rows)
-
-    return ordered.mapInPandas(run, _SCHEMA)
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=_SCHEMA.names)
-    return frame.assign(doc_id=frame["doc_id"].astype("Int64"))
+            doc_ids, at = batch.column(0), 0
+            ids: list[bytes] = []
+            held = 0
+            for row, text in enumerate(batch.column(1).to_pylist(), 1):
+                ids.append(encode(text) + end)
+                held += len(ids[-1])
+                if row == batch.num_rows or held >= 4 * BATCH_IDS:
+                    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                    offsets = np.concatenate(([0], np.cumsum(sizes)))
+                    flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
+                    yield pa.RecordBatch.from_arrays([
+                        doc_ids.slice(at, len(ids)), pa.array(np.full(len(ids), part, np.int32)), pa.array(start + offsets[:-1]), pa.array(sizes),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
+                    ], names=_SCHEMA.names)
+                    at, start, ids, held = row, start + int(offsets[-1]), [], 0
+
+    return ordered.mapInArrow(run, _SCHEMA)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -91,13 +91,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document in the files.
 
     A file's place in the stream comes from the two small integer columns of
-    all files (one row per file remains), not from the ids.
+    all files, not from the ids.  One row of two numbers per file remains, so
+    the places are sent to all readers and the ids stay where they are read.
     """
     rows = spark.read.schema(_SCHEMA).orc(path)
     ends = rows.groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = ends.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    return rows.join(bases, "part").select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("part_start")).alias("start"), "n_tokens", "ids")
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> DataFrame:
@@ -105,7 +106,14 @@ def read_documents(spark: SparkSession, path: str, doc_ids: Sequence[int]) -> Da
     return spark.read.schema(_SCHEMA).orc(path).where(F.col("doc_id").isin(list(doc_ids))).select("doc_id", "n_tokens", "ids")
 
 
-@F.pandas_udf(LongType())
-def ids_crc32(ids: pd.Series) -> pd.Series:
-    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
+def with_crc32(rows: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32): unsigned CRC-32 of a row's ids as little-endian unsigned 32-bit integers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("ids")
+            data, ends = memoryview(np.asarray(lists.values, "<i4")).cast("B"), lists.offsets.to_numpy()
+            sums = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return rows.select("doc_id", "start", "n_tokens", "ids").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
