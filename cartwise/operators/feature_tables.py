@@ -2,8 +2,8 @@
 
 Each table holds the grain's keys, ``select_date`` and 376 metric columns
 (94 metrics x 4 windows), missing values filled with 0.0.  All four windows
-come out of one ``window_features`` call (two aggregates), so there is no
-chain of four left joins.
+come out of one set of three aggregates per grain, so there is no chain of four
+left joins.
 """
 
 from __future__ import annotations
@@ -14,13 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.dates import as_date, resolve_windows
-from cartwise.functions.metrics import WINDOW_ORDER, feature_columns
+from cartwise.functions.metrics import DISCOUNTS, MONEY, WINDOW_ORDER, feature_columns
 from cartwise.functions.text import normalize_commodity
-from cartwise.operators.features import grouping_set_id, joined_aggregates, project_features, window_features
+from cartwise.operators.features import (
+    history_aggregate, in_any_window, join_aggregates, project_features, roll_up, window_features,
+)
 from cartwise.operators.spine import (
     TOP_N, distinct_households, household_commodity_spine, top_commodities_and_max_day,
 )
-from cartwise.session import materialize
+from cartwise.session import materialize, stage_path
 from cartwise.sources.tables import with_commodity
 
 GRAIN_KEYS = {
@@ -112,36 +114,41 @@ def household_commodity_features(inp: FeatureInputs) -> DataFrame:
 
 
 def all_feature_tables(inp: FeatureInputs, stage: str | None = None) -> dict[str, DataFrame]:
-    """G2-G4 together: one history scan and one window scan for all grains.
-
-    The transactions are aggregated once with ``GROUPING SETS`` over
-    (household), (commodity), (household, commodity); commodities outside
-    the top list are blanked first, so their rows only feed the household
-    set (their commodity groups carry a NULL key and match no spine row).
-    The joined aggregates (about 130 columns) are written once as parquet
-    below the shared checkpoint folder; each table is then a filter, a projection and, for
-    the two commodity grains, a left join to its spine.  The pair spine's
-    households come from the household rows of the same aggregate.
+    """G2-G4 together, from two passes over the joined facts.
+
+    * The history parts are aggregated once at (household, commodity) over
+      all rows; being maxima they roll up to either key alone.
+    * The rows inside any window are written once, narrow; each grain takes
+      its additive and distinct aggregates from them.
+
+    Both are parquet below the shared checkpoint folder (``stage``), which
+    cuts the lineage.  Commodities outside the top list are blanked first, so
+    their rows only feed the household grain; the commodity grains leave them
+    out before they aggregate.  Each table is joined on its plain keys.
     """
     h, c = "household_key", "commodity_desc"
     keys = [h, c]
     if not inp.max_day or not inp.top:
         return {g: build(inp) for g, build in BUILDERS.items()}
+    spark, wins = inp.tx_asof.sparkSession, inp.windows
+    stage = stage or stage_path(spark, "feature_aggregates")
     tx = inp.tx_asof.withColumn(c, F.when(F.col(c).isin(inp.top), F.col(c)))
-    sets = [[h], [c], [h, c]]
-    joined = materialize(joined_aggregates(tx, keys, inp.windows, sets), "feature_aggregates", stage)
+    hist = materialize(history_aggregate(tx, keys, wins), path=stage + "/history")
+    used = list(dict.fromkeys([*keys, "day", "basket_id", "product_id", *MONEY, *DISCOUNTS]))
+    in_window = materialize(tx.filter(F.expr(in_any_window(wins))).select(*used), path=stage + "/window")
 
     def grain(subset):
-        part = joined.filter(F.col("gid") == grouping_set_id(keys, subset))
-        return project_features(part, subset, inp.windows)
+        old, rows = hist, in_window
+        if c in subset:
+            old, rows = old.filter(F.col(c).isNotNull()), rows.filter(F.col(c).isNotNull())
+        if subset != keys:
+            old = roll_up(old, subset)
+        return project_features(join_aggregates(old, rows, subset, wins), subset, wins)
 
-    spark = inp.tx_asof.sparkSession
-    hh = grain([h])
     cm_spine = spark.createDataFrame([(x,) for x in inp.top], "commodity_desc string")
-    hc_spine = household_commodity_spine(
-        joined.filter(F.col("gid") == grouping_set_id(keys, [h])).select(h), inp.top)
+    hc_spine = household_commodity_spine(hist.select(h).distinct(), inp.top)
     return {
-        "household": _finish(hh, [h], inp.select_date),
+        "household": _finish(grain([h]), [h], inp.select_date),
         "commodity": _finish(F.broadcast(cm_spine).join(grain([c]), [c], "left"), [c], inp.select_date),
         "household_commodity": _finish(hc_spine.join(grain([h, c]), [h, c], "left"), [h, c], inp.select_date),
     }

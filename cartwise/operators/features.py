@@ -26,8 +26,8 @@ Here one call computes every window of a grain with three aggregates:
               key holding a third of all rows spreads over all reducers; the
               second level is partially aggregated before its shuffle.
 
-All outputs are keyed by ``keys`` and hash partitioned the same way, so the
-final left joins need no further exchange.  Ratios are ``try_divide``
+All outputs are keyed by ``keys`` and hash partitioned by them, so within one
+grain the final left joins reuse that partitioning.  Ratios are ``try_divide``
 (NULL on a zero or NULL denominator), all metrics are cast to double and
 named ``<metric>_<window>`` in one projection.
 """
@@ -81,27 +81,12 @@ def _end_groups(wins: Sequence[LookBack]) -> dict:
 # one ``selectExpr`` call for a whole projection keep plan construction to a
 # few hundred JVM round trips instead of tens of thousands.
 
-def _grouped(df: DataFrame, keys: list[str], sets, extra: list[str] | None = None):
-    """``groupBy`` on the keys, or ``GROUPING SETS`` over them plus a ``gid``
-    aggregate telling which set a row belongs to (bit set = key rolled up)."""
-    extra = list(extra or [])
-    if not sets:
-        return df.groupBy(*keys, *extra), []
-    gid = " + ".join(f"grouping({_q(k)}) * {1 << (len(keys) - 1 - i)}" for i, k in enumerate(keys))
-    return df.groupingSets([list(s) + extra for s in sets], *keys, *extra), [f"{gid} AS gid"]
-
-
-def grouping_set_id(keys: list[str], subset: list[str]) -> int:
-    """The ``gid`` of the grouping set ``subset`` of ``keys``."""
-    return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in subset)
-
-
-def _in_any_window(wins: Sequence[LookBack]) -> str:
+def in_any_window(wins: Sequence[LookBack]) -> str:
     """SQL predicate: the row lies in at least one window (pushed to the scan)."""
     return " OR ".join(f"(day BETWEEN {_d(lo)} AND {_d(end)})" for end, lo in _end_groups(wins).items())
 
 
-def history_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
+def history_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
     """Days-since parts over the whole history up to each window end.
 
     The only metrics without a lower date bound.  Per distinct window end:
@@ -118,11 +103,10 @@ def history_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack],
             aggs.append(f"max(CASE WHEN {upto} AND {_q(d)} > 0 THEN day END) AS {_q('last_' + d + '__' + t)}")
             aggs.append(f"max(CASE WHEN {upto} AND NOT coalesce({_q(d)} > 0, false) THEN 1 END) "
                         f"AS {_q('rest_' + d + '__' + t)}")
-    grouped, gid = _grouped(tx.select(*keys, "day", *DISCOUNTS), keys, sets)
-    return grouped.agg(*[F.expr(a) for a in gid + aggs])
+    return tx.select(*keys, "day", *DISCOUNTS).groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
 
-def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
+def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
     """Row counts, non-null counts, sums and conditional counts per window.
 
     Reads only rows inside some window (the predicate reaches the scan).
@@ -137,14 +121,13 @@ def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack],
         for d in DISCOUNTS:
             aggs.append(f"sum(CASE WHEN {inw} AND {_q(d)} > 0 THEN 1 END) "
                         f"AS {_q('line_items_with_' + d + '__' + w.name)}")
-    grouped, gid = _grouped(tx.filter(F.expr(_in_any_window(wins))), keys, sets)
-    return grouped.agg(*[F.expr(a) for a in gid + aggs])
+    return tx.filter(F.expr(in_any_window(wins))).groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
 
-def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
+def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
     """The 14 distinct counts per window via the two-level entity stack."""
     groups = _end_groups(wins)
-    in_any = _in_any_window(wins)
+    in_any = in_any_window(wins)
     kq = [_q(k) for k in keys]
     stack = (f"stack(3, {_KIND['days']}, CAST(unix_date(day) AS BIGINT), "
              f"{_KIND['baskets']}, CAST(basket_id AS BIGINT), "
@@ -159,8 +142,7 @@ def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack],
         level1.append(f"max(CASE WHEN {inr} THEN day END) AS {_q('last__' + t)}")
         for i, _ in enumerate(DISCOUNTS):
             level1.append(f"max(CASE WHEN {inr} AND pos_{i} THEN day END) AS {_q(f'last_{i}__{t}')}")
-    grouped, gid = _grouped(stacked, keys, sets, ["kind", "value"])
-    per_entity = grouped.agg(*[F.expr(a) for a in gid + level1])
+    per_entity = stacked.groupBy(*keys, "kind", "value").agg(*[F.expr(a) for a in level1])
 
     level2 = []
     for w in wins:
@@ -173,8 +155,7 @@ def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack],
             for i, d in enumerate(DISCOUNTS):
                 level2.append(f"count(CASE WHEN kind = {_KIND[entity]} AND {_q(f'last_{i}__{t}')} >= {start} "
                               f"THEN 1 END) AS {_q(entity + '_with_' + d + '__' + w.name)}")
-    by = (["gid"] if sets else []) + keys
-    return per_entity.groupBy(*by).agg(*[F.expr(a) for a in level2])
+    return per_entity.groupBy(*keys).agg(*[F.expr(a) for a in level2])
 
 
 def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
@@ -196,34 +177,24 @@ def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
     return out
 
 
-def joined_aggregates(tx: DataFrame, keys: list[str], wins: Sequence[LookBack], sets=None) -> DataFrame:
+def join_aggregates(hist: DataFrame, in_window: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
     """History, window and distinct aggregates side by side, one row per key.
 
     The history aggregate holds every key (the anchor set); the other two
-    only keys with in-window rows, so they are left-joined.  All three are
-    hash partitioned on the keys, so the joins add no exchange.  With
-    ``sets`` (grouping sets over ``keys``) the rows of every set come out
-    together, tagged by ``gid``; rolled-up keys are NULL, so those joins are
-    null-safe.
+    only keys with in-window rows, so they are left-joined on the keys.
     """
-    hist = history_aggregate(tx, keys, wins, sets)
-    parts = [additive_aggregate(tx, keys, wins, sets), distinct_aggregate(tx, keys, wins, sets)]
-    out = hist
-    for i, part in enumerate(parts):
-        if not sets:
-            out = out.join(part, keys, "left")
-            continue
-        tag = f"__p{i}_"
-        p = part.select(*[F.col(c).alias(tag + c) if c in keys or c == "gid" else F.col(c) for c in part.columns])
-        cond = out["gid"] == p[tag + "gid"]
-        for k in keys:
-            cond = cond & out[k].eqNullSafe(p[tag + k])
-        out = out.join(p, cond, "left").drop(*[tag + c for c in keys + ["gid"]])
-    return out
+    return (hist.join(additive_aggregate(in_window, keys, wins), keys, "left")
+            .join(distinct_aggregate(in_window, keys, wins), keys, "left"))
+
+
+def roll_up(hist: DataFrame, subset: list[str]) -> DataFrame:
+    """A history aggregate at fewer keys: every component is a maximum."""
+    parts = [x for x in hist.columns if "__" in x]
+    return hist.groupBy(*subset).agg(*[F.max(_q(x)).alias(x) for x in parts])
 
 
 def project_features(joined: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
-    """Keys plus 94 metrics per window from ``joined_aggregates`` rows."""
+    """Keys plus 94 metrics per window from ``join_aggregates`` rows."""
     keys_ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in keys)
     exprs = [_q(k) for k in keys]
     for w in wins:
@@ -241,7 +212,7 @@ def window_features(tx: DataFrame, grouping_keys, wins: Sequence[LookBack]) -> D
     """
     keys = normalize_keys(grouping_keys)
     wins = list(wins)
-    return project_features(joined_aggregates(tx, keys, wins), keys, wins)
+    return project_features(join_aggregates(history_aggregate(tx, keys, wins), tx, keys, wins), keys, wins)
 
 
 def get_features(df: DataFrame, grouping_keys, window: str | Sequence[str] = None,

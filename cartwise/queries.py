@@ -287,7 +287,8 @@ def q_class_balance(spark, sf_dir):
 
 def _feature_tables(spark, sf_dir, select_date):
     inp = FT.prepare(_tx(spark, sf_dir), _products(spark, sf_dir, LABEL_COMMODITY_COLUMN), select_date)
-    return (FT.household_features(inp), FT.commodity_features(inp), FT.household_commodity_features(inp))
+    tables = FT.all_feature_tables(inp)
+    return tables["household"], tables["commodity"], tables["household_commodity"]
 
 
 def _lookup_sql(spine_cte: str, select_date: str, keep_keys: bool) -> str:
