@@ -11,8 +11,12 @@ always produces the same registry:
   is at least the current Champion's (the Challenger alias is then
   removed); otherwise it keeps the Challenger alias (D22, D23).
 
-The Champion's AUC can only rise, so "current Champion's AUC" is the best
-AUC among earlier passing versions.  The windows below are partitioned by
+Both AUCs are measured on the same test rows: when a version is registered,
+the training job scores its test rows with the current Champion too and keeps
+that as ``champion_auc`` (NULL without a Champion).  A Champion that was once
+lucky is thereby unseated.  A history without that column holds versions that
+were all measured on one set of rows; the best AUC among earlier passing
+versions is then the current Champion's.  The windows below are partitioned by
 model name; a registry holds one row per version, so each partition is
 small.
 """
@@ -22,18 +26,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The gate and the alias names.
 AUC_GATE = 0.75
 CHAMPION = "Champion"
 CHALLENGER = "Challenger"
 
 
 def promote(history: DataFrame, gate: float = AUC_GATE) -> DataFrame:
-    """Operator M8: (model_name, version, roc_auc) -> the same plus ``alias``."""
+    """Operator M8: (model_name, version, roc_auc[, champion_auc]) -> the first three plus ``alias``."""
     order = Window.partitionBy("model_name").orderBy("version")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("model_name")
     passes = F.col("roc_auc") >= F.lit(gate)
-    best_before = F.max(F.when(passes, F.col("roc_auc"))).over(before)
+    best_before = F.col("champion_auc") if "champion_auc" in history.columns else F.max(F.when(passes, F.col("roc_auc"))).over(before)
     staged = (history
               .withColumn("passes", F.coalesce(passes, F.lit(False)))
               .withColumn("becomes_champion",

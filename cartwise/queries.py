@@ -31,13 +31,13 @@ from cartwise.operators.evaluate import average_precision, confusion_metrics, ro
 from cartwise.operators.labels import (
     class_balance, feature_lookup, labels, lookup_coverage, positive_labels, scoring_set, training_set,
 )
-from cartwise.operators.registry import AUC_GATE, CHAMPION, latest_version, promote, version_for_alias
+from cartwise.operators.registry import CHAMPION, latest_version, promote, version_for_alias
 from cartwise.operators.split import assign_split, split_bucket_sql
 from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
 from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
-from cartwise.session import bound_plan_strings, checkpoint_root, reliable_checkpoint
+from cartwise.session import checkpoint_root, materialize
 from cartwise.sources.store import FeatureStore, write_predictions
 from cartwise.sources.tables import load_products, load_transactions, transactions_asof, with_commodity
 
@@ -68,7 +68,6 @@ def oracle_registry() -> dict[str, str]:
 
 
 def _tx(spark, sf_dir):
-    bound_plan_strings(spark)
     return load_transactions(spark, sf_dir)
 
 
@@ -402,7 +401,7 @@ def _ranking_sql(metric: str) -> str:
 def q_metric_average_precision(spark, sf_dir):
     """M5: average precision of the baseline score against the labels."""
     ev = _evaluation_frame(spark, sf_dir)
-    return average_precision(ev, "label", BASELINE_SCORE)
+    return average_precision(ev, "label", BASELINE_SCORE).select(F.round("average_precision", 12).alias("average_precision"))
 
 
 @register("metric_roc_auc", lambda: _ranking_sql("auc"))
@@ -457,9 +456,13 @@ def _history_sql() -> str:
             + " UNION ALL ".join(per) + "))")
 
 
+#: Gate of the promotion queries: chance level, which the baselines' scores on these tables lie around.
+QUERY_GATE = 0.5
+
+
 def _promotion_sql() -> str:
-    return (f"WITH {_history_sql()}, s AS (SELECT *, roc_auc >= {AUC_GATE} AS passes, "
-            f"max(CASE WHEN roc_auc >= {AUC_GATE} THEN roc_auc END) OVER (PARTITION BY model_name ORDER BY version "
+    return (f"WITH {_history_sql()}, s AS (SELECT *, roc_auc >= {QUERY_GATE} AS passes, "
+            f"max(CASE WHEN roc_auc >= {QUERY_GATE} THEN roc_auc END) OVER (PARTITION BY model_name ORDER BY version "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM hist), "
             "t AS (SELECT *, COALESCE(passes, false) AND (best_before IS NULL OR roc_auc >= best_before) AS champ FROM s), "
             "u AS (SELECT *, max(CASE WHEN champ THEN version END) OVER (PARTITION BY model_name) AS last_champion, "
@@ -471,7 +474,7 @@ def _promotion_sql() -> str:
 @register("model_promotion", _promotion_sql)
 def q_model_promotion(spark, sf_dir):
     """M8: champion/challenger aliases from the version history."""
-    return promote(_history(spark, sf_dir))
+    return promote(_history(spark, sf_dir), QUERY_GATE)
 
 
 @register("latest_model_version", lambda: f"WITH {_history_sql()} SELECT model_name, "
@@ -485,7 +488,7 @@ def q_latest_model_version(spark, sf_dir):
           "WHERE alias = 'Champion'")
 def q_champion_version(spark, sf_dir):
     """The version the Champion alias points to."""
-    return version_for_alias(promote(_history(spark, sf_dir)), CHAMPION)
+    return version_for_alias(promote(_history(spark, sf_dir), QUERY_GATE), CHAMPION)
 
 
 # --------------------------------------------------------------------------
@@ -501,7 +504,17 @@ def _model_data(spark, sf_dir) -> DataFrame:
     fed = _period().features_end_day
     hf, cf, hcf = _feature_tables(spark, sf_dir, fed)
     ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True, select_date=fed)
-    return reliable_checkpoint(assign_split(ts))
+    return materialize(assign_split(ts), "training_set")
+
+
+#: Boosting rounds of the fits in these queries (the jobs default to ``M.MAX_ITER``).
+QUERY_ROUNDS = 20
+
+
+def _default_params(data: DataFrame) -> M.Params:
+    """The library's default depth and rate, weighted by the class balance (M2)."""
+    weight = class_balance(data).first()["pos_class_weight"]
+    return M.Params(scale_pos_weight=float(weight or 1.0), max_iter=QUERY_ROUNDS)
 
 
 @register("train_model")
@@ -509,7 +522,7 @@ def q_train_model(spark, sf_dir):
     """M3: GBT fit on the train split, test-split predictions."""
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
-    model = M.fit(data.filter(F.col("split") == "train"), feats, M.Params())
+    model = M.fit(data.filter(F.col("split") == "train"), feats, _default_params(data))
     return (M.predict(model, data.filter(F.col("split") == "test"), feats)
             .select("household_key", "purchased", "probability", "prediction"))
 
@@ -523,9 +536,9 @@ def q_tune_model(spark, sf_dir):
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
     bal = class_balance(data).first()
-    cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"])
+    cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"], max_iter=QUERY_ROUNDS)
     res = M.tune(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate"), feats,
-                 cands, parallelism=M.tuning_parallelism(spark))
+                 cands, parallelism=M.TUNING_PARALLELISM)
     return M.trials_frame(spark, res)
 
 
@@ -534,7 +547,7 @@ def q_batch_score(spark, sf_dir):
     """Final model on train+validate scores every household."""
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
-    model = M.fit(data.filter(F.col("split") != "test"), feats, M.Params())
+    model = M.fit(data.filter(F.col("split") != "test"), feats, _default_params(data))
     hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
     sc = scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
     return M.batch_score(model, sc, feats, model_version=1)

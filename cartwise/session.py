@@ -8,6 +8,7 @@ create a private folder ourselves.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,10 +52,12 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged writes.
 
-    Reads ``spark.checkpoint.dir`` from the session.  If it is unset (local
-    runs only) a private folder is created once per SparkContext and used as
-    the RDD checkpoint directory too, so ``DataFrame.checkpoint()`` and
-    Spark ML's ``checkpointInterval`` work.
+    Reads ``spark.checkpoint.dir`` from the session, then the folder given to
+    ``SparkContext.setCheckpointDir``.  If neither is set, a local master gets
+    a private folder, created once per SparkContext and used as the RDD
+    checkpoint directory too, so ``DataFrame.checkpoint()`` and Spark ML's
+    ``checkpointInterval`` work; any other master is refused, as executors
+    would not share the folder.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -63,12 +66,11 @@ def checkpoint_root(spark: SparkSession) -> str:
             root = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             root = None
+    root = root or _LOCAL_ROOTS.get(id(sc._jsc)) or sc.getCheckpointDir()
     if not root:
-        key = id(sc._jsc)
-        root = _LOCAL_ROOTS.get(key)
-        if root is None:
-            root = tempfile.mkdtemp(prefix="cartwise-ckpt-")
-            _LOCAL_ROOTS[key] = root
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _LOCAL_ROOTS[id(sc._jsc)] = tempfile.mkdtemp(prefix="cartwise-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root.rstrip("/") + "/rdd")
     return root
@@ -110,26 +112,3 @@ def reliable_checkpoint(df):
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-_PLAN_STRING_LIMIT = "200000"
-
-
-def bound_plan_strings(spark: SparkSession) -> None:
-    """Cap the plan text Spark keeps per execution, unless the user set it.
-
-    The status store keeps a description of every recent execution; the
-    plans of the wide feature tables run to megabytes each.  The cap only
-    shortens that text (and ``explain`` output); it changes no result.
-    """
-    try:
-        current = spark.conf.get("spark.sql.maxPlanStringLength")
-    except Exception:  # noqa: BLE001
-        current = None
-    if current is None or current.strip().lower().rstrip("b") in ("", str(2**31 - 16), "2147483632"):
-        spark.conf.set("spark.sql.maxPlanStringLength", _PLAN_STRING_LIMIT)
-
-
-def heap_gib(spark: SparkSession) -> float:
-    """The driver JVM's maximum heap (in local mode, the executors' too)."""
-    return spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2**30

@@ -4,7 +4,8 @@ A feature table is a parquet directory partitioned by ``select_date``
 (when it has one); a small ``_meta/<name>`` record beside it keeps the
 primary key, description and schema.  Lookups for one date read one partition (partition pruning).
 
-Merge (upsert on the primary key) without a transactional format:
+A write whose rows hold a primary key twice is refused before the table is
+touched.  Merge (upsert on the primary key) without a transactional format:
 
 1. rows of the target that share a date with the update and are not
    replaced by it (null-safe anti join on the key) plus the update rows
@@ -114,11 +115,18 @@ class FeatureStore:
         # the update is computed exactly once: staged, then read back
         writer(df, "overwrite").parquet(staging)
         staged = lambda: self.spark.read.schema(df.schema).parquet(staging).select(*cols)
+        twice = key_check(staged(), keys).first()["duplicate_keys"]
+        if twice:  # the table is untouched so far
+            remove_path(self.spark, staging)
+            raise ValueError(f"{twice} primary keys of {name!r} occur more than once in the rows to write")
         if mode == "merge":
             upd = staged()
             target = self.read_table(name).select(*cols)
-            if partitioned:
-                target = target.join(upd.select(PARTITION).distinct(), PARTITION, "left_semi")
+            if partitioned:  # the update's few dates as literals, so that other partitions are not read
+                dates = [r[0] for r in upd.select(PARTITION).distinct().collect()]
+                known = [d for d in dates if d is not None]
+                touched = F.col(PARTITION).isin(known) if known else F.lit(False)
+                target = target.filter(touched | F.col(PARTITION).isNull() if None in dates else touched)
             upd_keys = upd.select(*[F.col(k).alias("__k_" + k) for k in keys])
             cond = reduce(lambda a, b: a & b, [target[k].eqNullSafe(upd_keys["__k_" + k]) for k in keys])
             kept = target.join(upd_keys, cond, "left_anti")

@@ -4,8 +4,10 @@ The original pipeline has no streaming operator: new transactions are
 picked up by rerunning the batch feature job on a daily schedule.  This
 module expresses that cadence with Structured Streaming: a file source
 watches the transactions folder, and each micro-batch of newly arrived
-files triggers the feature job for the latest day it contains
-(``foreachBatch``).
+files triggers the feature job (``foreachBatch``): for the latest day it
+contains, and again for every stored date from its earliest day on, so that
+late rows reach the tables they belong to.  Other days inside a batch get no
+table of their own.
 
 The feature metrics need the full history (days-since has no lower bound),
 so the job itself reads the whole transactions folder as a batch; the
@@ -21,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cartwise.plans.feature_job import run_feature_job
+from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
 from cartwise.session import checkpoint_root
-from cartwise.sources.store import FeatureStore
+from cartwise.sources.store import PARTITION, FeatureStore
 
 
 def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: StructType,
@@ -43,11 +45,16 @@ def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: St
     arrivals = reader.parquet(transactions_dir).select("day")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        latest = batch.agg(F.max("day").alias("d")).first()["d"]
+        first, latest = batch.agg(F.min("day"), F.max("day")).first()
         if latest is None:
             return
         history = spark.read.schema(schema).parquet(transactions_dir)
-        run_feature_job(history, products, latest, store)
+        stored = set()
+        if store.exists(TABLE_NAMES["household"]):  # every stored date that the arrived rows belong to
+            table = store.read_table(TABLE_NAMES["household"])
+            stored = {r[0] for r in table.filter(F.col(PARTITION) >= F.lit(first)).select(PARTITION).distinct().collect()}
+        for day in sorted(stored | {latest}):
+            run_feature_job(history, products, day, store)
 
     w = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
     if available_now:

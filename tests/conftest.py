@@ -23,7 +23,7 @@ def spark():
     s.stop()
 
 
-# The original unit test's input: 21 nullable fields, two line items.
+# The original unit test's input, 21 nullable fields and two line items.
 FIXTURE_SCHEMA = StructType([
     StructField("product_id", IntegerType(), True),
     StructField("household_key", IntegerType(), True),

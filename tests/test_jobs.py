@@ -57,7 +57,7 @@ def test_training_then_inference(spark, setup):
                               tempfile.mkdtemp() + "/p")
         # register the same model again as a version that passes the gate
         store.write_table(REGISTRY_TABLE, spark.createDataFrame(
-            [("propensity_test", 1, 0.9)], "model_name string, version int, roc_auc double"))
+            [("propensity_test", 1, 0.9, None)], "model_name string, version int, roc_auc double, champion_auc double"))
     assert champion(store, "propensity_test") == 1
     out = run_inference_job(spark, tx, store, SELECT, "PROMO", "propensity_test",
                             tempfile.mkdtemp() + "/predictions",
