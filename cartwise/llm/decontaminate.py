@@ -76,9 +76,13 @@ def _all_grams(words: Column, length: int) -> Column:
 
 def _fingerprints(rows: DataFrame, key: str, words: str, whole: bool, lengths: list[int]) -> DataFrame:
     """(key, length, hash, place); length is WINDOW for winnowed grams, else that of a short item."""
-    kinds = [F.transform(winnowed(F.col(words)), lambda g: F.struct(F.lit(WINDOW).alias("length"), g.alias("gram")))]
+
+    def sized(grams: Column, n: int) -> Column:
+        return F.transform(grams, lambda g: F.struct(F.lit(n).alias("length"), g.alias("gram")))
+
+    kinds = [sized(winnowed(F.col(words)), WINDOW)]
     for n in lengths:
-        grams = F.transform(_all_grams(F.col(words), n), lambda g, n=n: F.struct(F.lit(n).alias("length"), g.alias("gram")))
+        grams = sized(_all_grams(F.col(words), n), n)
         kinds.append(F.when(F.size(words) == n, grams) if whole else grams)
     every = F.concat(*[F.coalesce(k, F.array().cast("array<struct<length:int,gram:bigint>>")) for k in kinds]) if len(kinds) > 1 else kinds[0]
     found = rows.select(key, F.explode(every).alias("g"))

@@ -64,7 +64,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
                 if len(seen) >= COUNTED_TERMS:
                     yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
                     seen = {}
-        yield pd.DataFrame({"term": list(seen), "n": list(seen.values())}, columns=["term", "n"])
+        yield pd.DataFrame({"term": pd.Series(list(seen), dtype=object), "n": list(seen.values())})
 
     return docs.select("text").mapInPandas(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 

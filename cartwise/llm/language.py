@@ -150,7 +150,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
                     labels[label] = labels.get(label, 0) + 1
                     df[np.unique(_grams(text)) if len(text) < 1000 else _counts(text)[0]] += 1
         at = np.flatnonzero(df)
-        yield pd.DataFrame({"label": [None] * len(at) + list(labels), "feature": [*at.tolist(), *[-1] * len(labels)], "n": [*df[at].tolist(), *labels.values()]})
+        yield pd.DataFrame({"label": pd.Series([None] * len(at) + list(labels), dtype=object), "feature": [*at.tolist(), *[-1] * len(labels)], "n": [*df[at].tolist(), *labels.values()]})
 
     counted = rows.select("text", "label").mapInPandas(frequencies, "label string, feature int, n long").groupBy("label", "feature").agg(F.sum("n").alias("n")).toPandas()
     sizes = counted[counted.feature < 0].set_index("label")["n"].to_dict()

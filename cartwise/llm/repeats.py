@@ -153,13 +153,13 @@ def _shared_anchors(sharded: DataFrame, ranges: int) -> DataFrame:
             hashes.append(anchor[new])
             docs.append(ids[doc[new]])
         if not hashes:
-            return pd.DataFrame({"range": [], "shard": [], "hashes": [], "several": []})
+            return pd.DataFrame(columns=["range", "shard", "hashes", "several"])
         h, d = np.concatenate(hashes), np.concatenate(docs)
         order = np.argsort(h)
         h, d = h[order], d[order]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))[: len(h)]
         if not len(h):
-            return pd.DataFrame({"range": [], "shard": [], "hashes": [], "several": []})
+            return pd.DataFrame(columns=["range", "shard", "hashes", "several"])
         several = np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first)
         h = h[first]
         bound = np.searchsorted(h, [(r << _HASH_BITS) // ranges for r in range(ranges + 1)])
@@ -304,7 +304,7 @@ def _earlier(stretches: DataFrame) -> DataFrame:
         later[order] = docs[stretch[order]] > docs[stretch[head]]
         hit = np.flatnonzero(later)
         if not len(hit):
-            return pd.DataFrame({"shard": [], "docs": [], "copies": [], "starts": [], "ends": []})
+            return pd.DataFrame(columns=["shard", "docs", "copies", "starts", "ends"])
         edge = np.ones(len(hit), bool)
         edge[1:] = (np.diff(hit) != 1) | (stretch[hit[1:]] != stretch[hit[:-1]])
         first = hit[np.flatnonzero(edge)]
