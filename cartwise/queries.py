@@ -12,8 +12,9 @@ result and the DuckDB oracle describe the same computation:
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -492,9 +493,27 @@ def q_champion_version(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# model fit, tuning and batch scoring (M3, M4, M10) - rows-only checks
+# model fit, tuning and batch scoring
+#
+# A model's scores are beyond SQL.  These queries return the rows that were
+# scored, what they are stamped with, and whether score and class hold what
+# they must, all of which DuckDB can state.
 # --------------------------------------------------------------------------
 
+#: The time that the scoring queries stamp their rows with.
+QUERY_TIME = dt.datetime(2001, 8, 1, 6, tzinfo=dt.timezone.utc)
+
+
+def _checked_scores(scored: DataFrame, *keys: str) -> DataFrame:
+    """The key columns, and whether probability and class fit each other."""
+    p, one = F.col("probability"), F.col("prediction") == 1
+    return scored.select(
+        *keys, F.coalesce(p.between(0, 1), F.lit(False)).alias("probability_valid"),
+        F.coalesce(F.when(one, p >= 0.5).when(F.col("prediction") == 0, p <= 0.5), F.lit(False)).alias("prediction_consistent"))
+
+
+_CHECKED_SQL = "TRUE AS probability_valid, TRUE AS prediction_consistent"
+
 def _model_data(spark, sf_dir) -> DataFrame:
     """Training set with keys and split, checkpointed to the shared folder.
 
@@ -507,8 +526,8 @@ def _model_data(spark, sf_dir) -> DataFrame:
     return materialize(assign_split(ts), "training_set")
 
 
-#: Boosting rounds of the fits in these queries (the jobs default to ``M.MAX_ITER``).
-QUERY_ROUNDS = 20
+#: Boosting rounds of the fits in the checked queries.
+QUERY_ROUNDS = M.MAX_ITER
 
 
 def _default_params(data: DataFrame) -> M.Params:
@@ -517,40 +536,75 @@ def _default_params(data: DataFrame) -> M.Params:
     return M.Params(scale_pos_weight=float(weight or 1.0), max_iter=QUERY_ROUNDS)
 
 
-@register("train_model")
+@register("train_model", lambda: f"WITH {_labels_sql_ctes()} SELECT household_key, purchased, {_CHECKED_SQL} "
+          f"FROM lab WHERE {_split_case(split_bucket_sql('household_key'))} = 'test'")
 def q_train_model(spark, sf_dir):
     """M3: GBT fit on the train split, test-split predictions."""
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
     model = M.fit(data.filter(F.col("split") == "train"), feats, _default_params(data))
-    return (M.predict(model, data.filter(F.col("split") == "test"), feats)
-            .select("household_key", "purchased", "probability", "prediction"))
+    return _checked_scores(M.predict(model, data.filter(F.col("split") == "test"), feats), "household_key", "purchased")
+
 
+#: The search of the checked query; ``run_training_job`` defaults to ``M.default_trials`` of ``M.MAX_ITER`` rounds.
+TUNING_TRIALS, TUNING_ROUNDS = 8, 20
 
-TUNING_TRIALS = 8
 
+def _tuning_sql():
+    split = _split_case(split_bucket_sql("household_key"))
+    return (f"WITH {_labels_sql_ctes()} SELECT CAST(range AS INTEGER) AS trial, TRUE AS depth_valid, TRUE AS rate_valid, "
+            "TRUE AS weight_valid, TRUE AS metrics_valid, "
+            f"(SELECT count(*) FROM lab WHERE {split} = 'train') AS train_rows, "
+            f"(SELECT count(*) FROM lab WHERE {split} = 'validate') AS validate_rows FROM range({TUNING_TRIALS})")
 
-@register("tune_model")
+
+@register("tune_model", _tuning_sql)
 def q_tune_model(spark, sf_dir):
-    """M4: random search on train, scored by average precision on validate."""
+    """M4: random search on train, scored by average precision on validate.
+
+    One row per trial: whether its sampled parameters lie in the search space
+    and its metrics in their ranges, and the rows it was fitted and scored on.
+    """
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
     bal = class_balance(data).first()
-    cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"], max_iter=QUERY_ROUNDS)
-    res = M.tune(data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate"), feats,
-                 cands, parallelism=M.TUNING_PARALLELISM)
-    return M.trials_frame(spark, res)
-
-
-@register("batch_score")
-def q_batch_score(spark, sf_dir):
-    """Final model on train+validate scores every household."""
+    cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"], max_iter=TUNING_ROUNDS)
+    train, validate = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate")
+    trials = M.trials_frame(spark, M.tune(train, validate, feats, cands, parallelism=M.TUNING_PARALLELISM))
+    heaviest = 5 * max(1.0, bal["pos_class_weight"] or 1.0)
+    in_unit = [F.col(c).isNull() | F.col(c).between(0, 1) for c in ("average_precision", "roc_auc", "balanced_accuracy")]
+    return trials.select(
+        "trial", F.col("max_depth").between(*M.MAX_DEPTH_RANGE).alias("depth_valid"),
+        F.col("learning_rate").between(*M.LEARNING_RATE_RANGE).alias("rate_valid"),
+        F.col("scale_pos_weight").between(M.SCALE_POS_WEIGHT_LOW, heaviest).alias("weight_valid"),
+        reduce(lambda a, b: a & b, in_unit, F.col("matthews_corrcoef").isNull() | F.col("matthews_corrcoef").between(-1, 1)).alias("metrics_valid"),
+        F.lit(train.count()).cast("long").alias("train_rows"), F.lit(validate.count()).cast("long").alias("validate_rows"))
+
+
+def _stamped_predictions(spark, sf_dir) -> DataFrame:
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
     model = M.fit(data.filter(F.col("split") != "test"), feats, _default_params(data))
     hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
     sc = scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
-    return M.batch_score(model, sc, feats, model_version=1)
+    return M.batch_score(model, sc, feats, model_version=1, inference_timestamp=QUERY_TIME)
+
+
+def _checked_predictions(scored: DataFrame) -> DataFrame:
+    return _checked_scores(scored.withColumn("inference_second", F.unix_timestamp("inference_timestamp")),
+                           "household_key", "commodity_desc", "select_date", "model_version", "inference_second")
+
+
+def _predictions_sql():
+    return (f"WITH {O.base_ctes(LABEL_COMMODITY_COLUMN)} SELECT DISTINCT household_key, '{LABEL_COMMODITY}' AS commodity_desc, "
+            f"DATE '{LABEL_DATE}' AS select_date, '1' AS model_version, "
+            f"CAST({int(QUERY_TIME.timestamp())} AS BIGINT) AS inference_second, {_CHECKED_SQL} FROM txn")
+
+
+@register("batch_score", _predictions_sql)
+def q_batch_score(spark, sf_dir):
+    """Final model on train+validate scores every household."""
+    return _checked_predictions(_stamped_predictions(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -605,13 +659,13 @@ def q_feature_table_key_check(spark, sf_dir):
     return store.key_check(name)
 
 
-@register("predictions_table")
+@register("predictions_table", _predictions_sql)
 def q_predictions_table(spark, sf_dir):
     """Stamped predictions written (overwrite) and read back."""
-    out = q_batch_score(spark, sf_dir)
+    out = _stamped_predictions(spark, sf_dir)
     path = f"{checkpoint_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
     write_predictions(out, path)
-    return spark.read.parquet(path)
+    return _checked_predictions(spark.read.parquet(path))
 
 
 # --------------------------------------------------------------------------
