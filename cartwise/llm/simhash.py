@@ -150,6 +150,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """The documents that stay: the smallest id of each component, each text once."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    """The documents that stay: the smallest id of each component, each text once.
+
+    Only rows whose id occurs more than once are compared by text; all others
+    pass the join with the kept ids as they are.
+    """
+    per_id = near_duplicates(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
+    kept, _ = stage(per_id, "simhash-kept")
+    once = docs.join(kept.where("copies = 1"), "doc_id", "left_semi")
+    repeated = docs.join(kept.where("copies > 1"), "doc_id", "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
