@@ -15,7 +15,8 @@ everything through every task, so suffixes are dealt out such that equal
    by it.  A stretch that a smaller document of the same shard holds too is
    settled there, so a text with very many copies sends one per shard.
 3. ``_earlier``.  Each task sorts its suffixes by their first ``LENGTH`` bytes
-   (stable, after sorting by document): in this suffix order the previous
+   (stable, after sorting by document; ``PASS`` at a time, equal beginnings
+   together): in this suffix order the previous
    smaller document with a factor of ``LENGTH`` or more, where there is one,
    heads the run of equal beginnings.  A suffix that has one is a later copy.
 4. ``_settled``.  Each shard joins the stretches of its documents and removes
@@ -49,6 +50,8 @@ SHARD_BYTES = 8 << 20
 #: Text bytes whose anchors, or whose suffixes if all were candidates, make up one hash range.
 RANGE_BYTES = 32 << 20
 BLOCK = 1 << 19
+#: Suffixes that a task of step 3 sorts at a time.
+PASS = 1 << 18
 #: A stretch never covers more starts than this.
 STRETCH = 4096
 _HASH_BITS = 48
@@ -277,6 +280,18 @@ def _suffixes(sharded: DataFrame, anchors: DataFrame, ranges: int) -> DataFrame:
     return sharded.groupBy("shard").cogroup(anchors.groupBy("shard")).applyInPandas(cut, _STEP2)
 
 
+def _passes(text: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+    """The suffixes at ``at`` in ascending groups of about ``PASS``; equal beginnings share a group."""
+    groups = -(-len(at) // PASS)
+    key = np.zeros(len(at), np.uint32)
+    for place in range(0, LENGTH, 7):
+        key = (key ^ text[at + place]) * np.uint32(0x9E3779B1)
+        key ^= key >> np.uint32(15)
+    key %= np.uint32(max(1, groups))
+    for g in range(groups):
+        yield np.flatnonzero(key == g)
+
+
 def _earlier(stretches: DataFrame) -> DataFrame:
     """(shard, docs, copies, starts, ends): spans covered by strings that start in a smaller document."""
 
@@ -292,16 +307,18 @@ def _earlier(stretches: DataFrame) -> DataFrame:
         stretch = np.repeat(by_doc, n)
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = begin[stretch] + inside
-        heads = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[at]
-        suffix = np.ascontiguousarray(heads).view(f"S{LENGTH}").ravel()
-        order = np.argsort(suffix, kind="stable")
-        ordered = suffix[order]
-        new = np.ones(len(order), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
-        del ordered, heads, suffix
-        head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]  # the previous smaller document of each run
-        later = np.zeros(len(order), bool)
-        later[order] = docs[stretch[order]] > docs[stretch[head]]
+        heads = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
+        later = np.zeros(len(at), bool)
+        for mine in _passes(text, at):
+            suffix = np.ascontiguousarray(heads[at[mine]]).view(f"S{LENGTH}").ravel()
+            order = np.argsort(suffix, kind="stable")
+            ordered = suffix[order]
+            new = np.ones(len(order), bool)
+            new[1:] = ordered[1:] != ordered[:-1]
+            order = mine[order]
+            head = order[np.flatnonzero(new)[np.cumsum(new) - 1]]  # the previous smaller document of each run
+            later[order] = docs[stretch[order]] > docs[stretch[head]]
+        del at
         hit = np.flatnonzero(later)
         if not len(hit):
             return pd.DataFrame(columns=["shard", "docs", "copies", "starts", "ends"])

@@ -245,3 +245,15 @@ def test_repeats_match_brute_force(docs, empty, rows):
     got = R.repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert R.repeats(empty).count() == 0
+
+
+def test_suffix_passes_keep_equal_beginnings_together(monkeypatch):
+    monkeypatch.setattr(R, "PASS", 100)
+    text = np.frombuffer(np.random.default_rng(1).integers(97, 99, 3000, np.uint8).tobytes() * 2, np.uint8)
+    at = np.arange(len(text) - R.LENGTH + 1)
+    groups = list(R._passes(text, at))
+    assert len(groups) == -(-len(at) // 100) and sorted(np.concatenate(groups)) == list(at)
+    of = {int(i): g for g, mine in enumerate(groups) for i in mine}
+    assert all((np.diff(mine) > 0).all() for mine in groups)
+    assert all(of[i] == of[i + 3000] for i in range(3000 - R.LENGTH))
+    assert list(R._passes(text, at[:0])) == []
