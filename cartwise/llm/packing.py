@@ -100,12 +100,15 @@ def pack_block(sizes: np.ndarray, loss: np.ndarray, tokens: int, segments: int,
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int, tokens: int = SEQUENCE_TOKENS, segments: int = SEQUENCE_SEGMENTS,
     loss_tokens: int | None = None, loss_col: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+    task_words: int | None = None,
 ) -> DataFrame:
     """One row per piece of a document in a sequence.
 
     ``loss_col`` names a column with a document's share of loss-bearing
     tokens (null: 1); without it every token bears loss.  ``with_ids`` adds
-    the piece's ids.
+    the piece's ids.  By default a Python worker remembers words' ids between
+    tasks; with ``task_words`` each task remembers about twice that many and
+    forgets them at its end, for executors that serve other stages too.
     """
     loss = F.coalesce(F.col(loss_col).cast("double"), F.lit(1.0)) if loss_col else F.lit(1.0)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), loss.alias("loss"))
@@ -129,7 +132,8 @@ def pack_documents(
         return frame.assign(doc_id=frame["doc_id"].astype("Int64")), first + len(sequences)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = coder(WordIds, tokenizer).encode
+        words = coder(WordIds, tokenizer) if task_words is None else WordIds(tokenizer, task_words)
+        encode = words.encode
         following = TaskContext.get().partitionId() * SEQUENCES_PER_PARTITION
         block, held = [], 0
         for batch in batches:

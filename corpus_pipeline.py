@@ -22,6 +22,8 @@ from cartwise.llm.common import ship_package, stage, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
+#: Words that a packing task remembers; the executors still hold what the stages before left.
+TASK_WORDS = 100_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return packing.pack_documents(docs, WORD_TOKENIZER, END_ID)
+    return packing.pack_documents(docs, WORD_TOKENIZER, END_ID, task_words=TASK_WORDS)
 
 
 STAGES = [
