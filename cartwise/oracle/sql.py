@@ -1,11 +1,11 @@
 """DuckDB oracle SQL for the deterministic operators.
 
-Written independently of the Spark build: it follows the original
-per-window recipe literally (anchor keys, a summary aggregate with plain
-``count(DISTINCT ...)``, a second days-since aggregate with the
-min-of-CASE form, left joins, coalesce), so a bug in the single-pass
-Spark plan shows up as a mismatch.  Only the metric *names* are shared
-(from ``functions.metrics``).
+It follows the original per-window recipe literally (anchor keys, a summary
+aggregate with plain ``count(DISTINCT ...)``, a second days-since aggregate
+with the min-of-CASE form, left joins, coalesce), so a bug in the
+single-pass Spark plan shows up as a mismatch.  The catalogue's names, ratio
+formulas and window offsets are shared (``functions.metrics``), so a mistake
+in those would not; hand-worked values hold them.
 """
 
 from __future__ import annotations
