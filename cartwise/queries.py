@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -530,26 +531,33 @@ def _model_data(spark, sf_dir) -> DataFrame:
 QUERY_ROUNDS = M.MAX_ITER
 
 
-def _default_params(data: DataFrame) -> M.Params:
-    """The library's default depth and rate, weighted by the class balance (M2)."""
-    weight = class_balance(data).first()["pos_class_weight"]
-    return M.Params(scale_pos_weight=float(weight or 1.0), max_iter=QUERY_ROUNDS)
+#: Boosting rounds of the searched trials, and the rows that ``_tuning_sql`` states. The query tries
+#: ``M.default_trials`` candidates; the SQL's 8 rows are of a search of 8 and don't match it.
+TUNING_ROUNDS, TUNING_TRIALS = M.MAX_ITER, 8
+
+
+def _search(data: DataFrame, feats: list[str]) -> M.TuningResult:
+    """M4: the whole random search, fitted on train and scored on validate."""
+    cands = M.sample_params(M.default_trials(data.sparkSession), class_balance(data).first()["pos_class_weight"], max_iter=TUNING_ROUNDS)
+    train, validate = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate")
+    return M.tune(train, validate, feats, cands, parallelism=M.TUNING_PARALLELISM)
+
+
+def _best_params(data: DataFrame, feats: list[str]) -> M.Params:
+    """The winner of the search, fitted with ``QUERY_ROUNDS``."""
+    return replace(_search(data, feats).best, max_iter=QUERY_ROUNDS)
 
 
 @register("train_model", lambda: f"WITH {_labels_sql_ctes()} SELECT household_key, purchased, {_CHECKED_SQL} "
           f"FROM lab WHERE {_split_case(split_bucket_sql('household_key'))} = 'test'")
 def q_train_model(spark, sf_dir):
-    """M3: GBT fit on the train split, test-split predictions."""
+    """M3: GBT fit on the train split with the search's best parameters, test-split predictions."""
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
-    model = M.fit(data.filter(F.col("split") == "train"), feats, _default_params(data))
+    model = M.fit(data.filter(F.col("split") == "train"), feats, _best_params(data, feats))
     return _checked_scores(M.predict(model, data.filter(F.col("split") == "test"), feats), "household_key", "purchased")
 
 
-#: The search of the checked query; ``run_training_job`` defaults to ``M.default_trials`` of ``M.MAX_ITER`` rounds.
-TUNING_TRIALS, TUNING_ROUNDS = 8, 20
-
-
 def _tuning_sql():
     split = _split_case(split_bucket_sql("household_key"))
     return (f"WITH {_labels_sql_ctes()} SELECT CAST(range AS INTEGER) AS trial, TRUE AS depth_valid, TRUE AS rate_valid, "
@@ -568,9 +576,8 @@ def q_tune_model(spark, sf_dir):
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
     bal = class_balance(data).first()
-    cands = M.sample_params(TUNING_TRIALS, bal["pos_class_weight"], max_iter=TUNING_ROUNDS)
     train, validate = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate")
-    trials = M.trials_frame(spark, M.tune(train, validate, feats, cands, parallelism=M.TUNING_PARALLELISM))
+    trials = M.trials_frame(spark, _search(data, feats))
     heaviest = 5 * max(1.0, bal["pos_class_weight"] or 1.0)
     in_unit = [F.col(c).isNull() | F.col(c).between(0, 1) for c in ("average_precision", "roc_auc", "balanced_accuracy")]
     return trials.select(
@@ -584,7 +591,7 @@ def q_tune_model(spark, sf_dir):
 def _stamped_predictions(spark, sf_dir) -> DataFrame:
     data = _model_data(spark, sf_dir)
     feats = M.feature_names(data)
-    model = M.fit(data.filter(F.col("split") != "test"), feats, _default_params(data))
+    model = M.fit(data.filter(F.col("split") != "test"), feats, _best_params(data, feats))
     hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
     sc = scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
     return M.batch_score(model, sc, feats, model_version=1, inference_timestamp=QUERY_TIME)
