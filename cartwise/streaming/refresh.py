@@ -4,10 +4,18 @@ The original pipeline has no streaming operator: new transactions are
 picked up by rerunning the batch feature job on a daily schedule.  This
 module expresses that cadence with Structured Streaming: a file source
 watches the transactions folder, and each micro-batch of newly arrived
-files triggers the feature job (``foreachBatch``): for the latest day it
-contains, and again for every stored date from its earliest day on, so that
-late rows reach the tables they belong to.  Other days inside a batch get no
-table of their own.
+files triggers the feature job (``foreachBatch``) for
+
+* every day that it contains after the first-load date,
+* every stored date from its earliest day on, so that late rows reach the
+  tables they belong to, and
+* its latest day.
+
+The first-load date ends the history that was there before the daily runs:
+the days up to it get no tables of their own.  It is a parameter; by default
+it is the earliest stored date, which is the latest day of the first batch if
+the store was empty.  A first load of several batches (files come in any
+order) needs it given.
 
 The feature metrics need the full history (days-since has no lower bound),
 so the job itself reads the whole transactions folder as a batch; the
@@ -18,8 +26,9 @@ idempotent, so a restarted or retried batch rewrites the same rows.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -31,12 +40,14 @@ from cartwise.sources.store import PARTITION, FeatureStore
 def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: StructType,
                           products: DataFrame, store: FeatureStore, checkpoint_location: str | None = None,
                           available_now: bool = True, processing_time: str | None = None,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
+                          max_files_per_trigger: int | None = None,
+                          first_load_date: dt.date | None = None) -> StreamingQuery:
     """Start the refresh stream; returns the running query.
 
     ``available_now`` processes everything that has arrived and stops (the
     scheduled-job style); otherwise ``processing_time`` (e.g. '1 day')
-    keeps it running.
+    keeps it running.  Arrived days after ``first_load_date`` (by default the
+    earliest stored date) each get their tables.
     """
     ckpt = checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/streams/feature_refresh"
     reader = spark.readStream.schema(schema)
@@ -45,15 +56,17 @@ def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: St
     arrivals = reader.parquet(transactions_dir).select("day")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        first, latest = batch.agg(F.min("day"), F.max("day")).first()
-        if latest is None:
+        arrived = {r[0] for r in batch.select("day").distinct().collect()} - {None}
+        if not arrived:
             return
+        first, latest = min(arrived), max(arrived)
         history = spark.read.schema(schema).parquet(transactions_dir)
         stored = set()
-        if store.exists(TABLE_NAMES["household"]):  # every stored date that the arrived rows belong to
-            table = store.read_table(TABLE_NAMES["household"])
-            stored = {r[0] for r in table.filter(F.col(PARTITION) >= F.lit(first)).select(PARTITION).distinct().collect()}
-        for day in sorted(stored | {latest}):
+        if store.exists(TABLE_NAMES["household"]):
+            stored = {r[0] for r in store.read_table(TABLE_NAMES["household"]).select(PARTITION).distinct().collect()}
+        loaded = first_load_date or min(stored, default=latest)
+        days = {d for d in stored if d >= first} | {d for d in arrived if d > loaded} | {latest}
+        for day in sorted(days):
             run_feature_job(history, products, day, store)
 
     w = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
