@@ -17,7 +17,9 @@ fingerprints were folded before, so copies never meet as pairs.
 
 Defined cases: a null or empty text has fingerprint zero and links like any
 other; a null id is never a component's smallest id (its component has the
-smallest other id, or null); repeated rows get one result each.
+smallest other id, or null); repeated rows get one result each.  Of every
+component one row stays, also of one with null ids only: the row with the
+smallest id (null ids last) and, among rows of that id, the smallest text hash.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from .common import drop_stage, stage
@@ -136,27 +138,41 @@ def links(fingerprints: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
-    spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), simhash_column(F.col(text_col).cast("string")).alias("fp"))
     rows, _ = stage(slim, "simhash")
     distinct, distinct_path = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    edges, edges_path = stage(links(distinct.select("fp")), "simhash-links")
-    roots, _ = connected_components(edges)
-    drop_stage(spark, edges_path)
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(distinct)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _rooted(distinct: DataFrame) -> DataFrame:
+    """The staged rows of distinct fingerprints (column ``fp``) with the ``root`` of their component."""
+    edges, edges_path = stage(links(distinct.select("fp")), "simhash-links")
+    roots, _ = connected_components(edges)
+    drop_stage(distinct.sparkSession, edges_path)
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """The documents that stay: the smallest id of each component, each text once.
+    """The documents that stay: of each component the row with the smallest (id, text hash), null ids last.
 
-    Only rows whose id occurs more than once are compared by text; all others
-    pass the join with the kept ids as they are.
+    The row's key is its id with the 64-bit hash of its text.  Only rows whose
+    key occurs more than once are compared by text; all others pass the join
+    with the kept keys as they are.
     """
-    per_id = near_duplicates(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    kept, _ = stage(per_id, "simhash-kept")
-    once = docs.join(kept.where("copies = 1"), "doc_id", "left_semi")
-    repeated = docs.join(kept.where("copies > 1"), "doc_id", "left_semi")
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    row = F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("long").alias("id"), _text_hash().alias("hash")
+    keys = docs.select(simhash_column(F.col("text").cast("string")).alias("fp"), *row).groupBy("fp", "no_id", "id", "hash").agg(F.count("*").alias("copies"))
+    least = F.min(F.struct("no_id", "id", "hash", "copies")).alias("least")
+    distinct, _ = stage(keys.groupBy("fp").agg(least), "simhash-distinct")
+    kept, _ = stage(_rooted(distinct).groupBy("root").agg(F.min("least").alias("least")).select("least.id", "least.hash", "least.copies"), "simhash-kept")
+    keyed = docs.withColumn("kept_hash", _text_hash())
+    same = keyed["doc_id"].cast("long").eqNullSafe(kept["id"]) & (keyed["kept_hash"] == kept["hash"])
+    once = keyed.join(kept.where("copies = 1"), same, "left_semi")
+    repeated = keyed.join(kept.where("copies > 1"), same, "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"])).drop("kept_hash")
