@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from .common import drop_stage, stage
 
@@ -40,6 +40,9 @@ EPOCHS = 2
 CALIBRATE_ONE_IN = 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 UNDETERMINED = "und"
+#: The least calibrated score with which a filter takes a text as written in its likeliest language: that one is
+#: half as likely again as all others together.  A text without a letter scores 0.
+MIN_SCORE = 0.6
 
 
 def _grams(text: str) -> np.ndarray:
@@ -75,6 +78,11 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+@F.pandas_udf(BooleanType())
+def with_letter(texts: pd.Series) -> pd.Series:
+    return pd.Series([has_letter(t) for t in texts], dtype=bool)
+
+
 def _vector(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = (1 + np.log(n)) * idf[at]
     return x / max(np.sqrt(x @ x), 1e-12)

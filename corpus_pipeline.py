@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that the one before
 kept, written as Parquet and read again:
 
 1. language ID: the classifier is trained on the labelled rows of its input;
-   documents whose language stays undetermined go.
+   documents without a letter go, and those whose likeliest language scores
+   under ``language.MIN_SCORE``.  If no row is labelled, only the first go.
 2. SimHash near-dedup: one document of each group of near copies stays.
 3. suffix-array dedup: byte strings that an earlier document holds are cut
    out of later ones; documents that this empties go.
@@ -28,9 +29,10 @@ TASK_WORDS = 100_000
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    predict = language.predictor(docs, language.train_on_documents(docs))
-    predicted = predict(F.col("text"))["lang_pred"]
-    return docs.where(predicted != language.UNDETERMINED)
+    model = language.train_on_documents(docs)
+    if not model.languages:
+        return docs.where(language.with_letter(F.col("text")))
+    return docs.where(language.predictor(docs, model)(F.col("text"))["score"] >= language.MIN_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
