@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by longest-previous-factor order (operator 10).
+"""Removal of repeated byte strings by the order of their first ``LENGTH`` bytes (operator 10).
 
 A byte goes if some ``LENGTH``-byte string that covers it also starts in a
 document with a smaller id.  A suffix array of the whole corpus would pass
@@ -23,8 +23,8 @@ everything through every task, so suffixes are dealt out such that equal
    the bytes they cover.
 
 Anchors only choose candidates; steps 2 and 3 compare bytes.  Tasks hold a
-shard (about ``SHARD_BYTES`` of text, or one longer text) or a hash range of
-bounded size.
+shard (about ``SHARD_BYTES`` of text, or one longer text), a hash range of
+bounded size, or all stretches of one routing gram, which have no bound.
 
 Defined cases: a null or empty text has no bytes; texts shorter than
 ``LENGTH`` lose nothing; a document with a null id neither removes nor loses
