@@ -1,13 +1,18 @@
-"""Registered queries of the ten operators and of the pipeline, with their SQL."""
+"""Registered queries of the operators and of the pipeline, with their SQL."""
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate as D, imatch, language, packing, repeats as R, simhash as S, token_counts as C, token_store as T, url_filter as U, warc as W
 from .common import stage_path, table
-from .oracle import OP5_SQL, OP6_SQL, OP8_SQL, OP10_SQL
+from .exact_topk import top_products
+from .lexical_search import rank_documents
+from .oracle import OP5_SQL, OP6_SQL, OP8_SQL, OP10_SQL, OP11_SQL, OP12_SQL
+from .periodic_runs import periodic_runs
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +74,35 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
+def planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a periodic end, in the tenth of documents that the contract names."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), edit=planted_period)
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    top = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("top.length"), -F.col("top.period")
+    return top.select("doc_id", "n_runs", (-F.col("top.start")).alias("start"), length.alias("length"), period.alias("period"),
+                      F.floor(1000 * length / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,8 +111,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {f.__name__: f for f in (
     op1_language_id, op2_token_orc, op3_token_counts, op4_simhash_dedup, op5_decontaminate,
-    op6_warc_revisit, op7_imatch, op8_url_filter, op9_vector_packing, op10_suffix_dedup, pipeline,
+    op6_warc_revisit, op7_imatch, op8_url_filter, op9_vector_packing, op10_suffix_dedup,
+    op11_lexical_search, op12_exact_topk, op13_periodic_runs, pipeline,
 )}
 
 #: The others have no SQL: their models, hashes or tokenizers are beyond it.
-ORACLE_SQL = {"op5_decontaminate": OP5_SQL, "op6_warc_revisit": OP6_SQL, "op8_url_filter": OP8_SQL, "op10_suffix_dedup": OP10_SQL}
+ORACLE_SQL = {
+    "op5_decontaminate": OP5_SQL, "op6_warc_revisit": OP6_SQL, "op8_url_filter": OP8_SQL, "op10_suffix_dedup": OP10_SQL,
+    "op11_lexical_search": OP11_SQL, "op12_exact_topk": OP12_SQL,
+}
