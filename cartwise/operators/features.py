@@ -124,26 +124,30 @@ def additive_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack])
     return tx.filter(F.expr(in_any_window(wins))).groupBy(*keys).agg(*[F.expr(a) for a in aggs])
 
 
-def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
-    """The 14 distinct counts per window via the two-level entity stack."""
-    groups = _end_groups(wins)
-    in_any = in_any_window(wins)
-    kq = [_q(k) for k in keys]
+def stack_entities(tx: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row once per entity kind: (keys, day, pos_0.. per discount, kind, value)."""
     stack = (f"stack(3, {_KIND['days']}, CAST(unix_date(day) AS BIGINT), "
              f"{_KIND['baskets']}, CAST(basket_id AS BIGINT), "
              f"{_KIND['products']}, CAST(product_id AS BIGINT)) AS (kind, value)")
-    stacked = (tx.filter(F.expr(in_any))
-               .selectExpr(*kq, "day", *[f"{_q(d)} > 0 AS pos_{i}" for i, d in enumerate(DISCOUNTS)], stack)
-               .filter(F.col("value").isNotNull()))
+    return (tx.selectExpr(*[_q(k) for k in keys], "day", *[f"{_q(d)} > 0 AS pos_{i}" for i, d in enumerate(DISCOUNTS)], stack)
+            .filter(F.col("value").isNotNull()))
+
+
+def latest_days(stacked: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+    """First level of the entity stack: per (keys, kind, value) and window end
+    the latest in-window day, overall and with each discount."""
     level1 = []
-    for end, lo in groups.items():
+    for end, lo in _end_groups(wins).items():
         t = _tag(end)
         inr = f"day BETWEEN {_d(lo)} AND {_d(end)}"
         level1.append(f"max(CASE WHEN {inr} THEN day END) AS {_q('last__' + t)}")
         for i, _ in enumerate(DISCOUNTS):
             level1.append(f"max(CASE WHEN {inr} AND pos_{i} THEN day END) AS {_q(f'last_{i}__{t}')}")
-    per_entity = stacked.groupBy(*keys, "kind", "value").agg(*[F.expr(a) for a in level1])
+    return stacked.groupBy(*keys, "kind", "value").agg(*[F.expr(a) for a in level1])
 
+
+def entity_counts(per_entity: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+    """Second level: the 14 distinct counts per window from ``latest_days`` rows."""
     level2 = []
     for w in wins:
         t = _tag(w.end)
@@ -158,6 +162,12 @@ def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack])
     return per_entity.groupBy(*keys).agg(*[F.expr(a) for a in level2])
 
 
+def distinct_aggregate(tx: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+    """The 14 distinct counts per window via the two-level entity stack."""
+    stacked = stack_entities(tx.filter(F.expr(in_any_window(wins))), keys)
+    return entity_counts(latest_days(stacked, keys, wins), keys, wins)
+
+
 def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
     """The 94 metric expressions of one window, from the joined aggregates."""
     has = f"({keys_ok}) AND {_q('line_items__' + w.name)} > 0"
@@ -177,20 +187,27 @@ def _window_exprs(w: LookBack, keys_ok: str) -> list[str]:
     return out
 
 
-def join_aggregates(hist: DataFrame, in_window: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
+def join_aggregates(hist: DataFrame, additive: DataFrame, distinct: DataFrame, keys: list[str]) -> DataFrame:
     """History, window and distinct aggregates side by side, one row per key.
 
     The history aggregate holds every key (the anchor set); the other two
     only keys with in-window rows, so they are left-joined on the keys.
     """
-    return (hist.join(additive_aggregate(in_window, keys, wins), keys, "left")
-            .join(distinct_aggregate(in_window, keys, wins), keys, "left"))
+    return hist.join(additive, keys, "left").join(distinct, keys, "left")
+
+
+def _parts(df: DataFrame) -> list[str]:
+    return [x for x in df.columns if "__" in x]
 
 
 def roll_up(hist: DataFrame, subset: list[str]) -> DataFrame:
-    """A history aggregate at fewer keys: every component is a maximum."""
-    parts = [x for x in hist.columns if "__" in x]
-    return hist.groupBy(*subset).agg(*[F.max(_q(x)).alias(x) for x in parts])
+    """A history aggregate, or ``latest_days`` rows, at fewer keys: every component is a maximum."""
+    return hist.groupBy(*subset).agg(*[F.max(_q(x)).alias(x) for x in _parts(hist)])
+
+
+def roll_up_sums(additive: DataFrame, subset: list[str]) -> DataFrame:
+    """An additive aggregate at fewer keys: every component is a count or a sum."""
+    return additive.groupBy(*subset).agg(*[F.sum(_q(x)).alias(x) for x in _parts(additive)])
 
 
 def project_features(joined: DataFrame, keys: list[str], wins: Sequence[LookBack]) -> DataFrame:
@@ -212,7 +229,8 @@ def window_features(tx: DataFrame, grouping_keys, wins: Sequence[LookBack]) -> D
     """
     keys = normalize_keys(grouping_keys)
     wins = list(wins)
-    return project_features(join_aggregates(history_aggregate(tx, keys, wins), tx, keys, wins), keys, wins)
+    parts = history_aggregate(tx, keys, wins), additive_aggregate(tx, keys, wins), distinct_aggregate(tx, keys, wins)
+    return project_features(join_aggregates(*parts, keys), keys, wins)
 
 
 def get_features(df: DataFrame, grouping_keys, window: str | Sequence[str] = None,

@@ -17,24 +17,28 @@ it is the earliest stored date, which is the latest day of the first batch if
 the store was empty.  A first load of several batches (files come in any
 order) needs it given.
 
-The feature metrics need the full history (days-since has no lower bound),
-so the job itself reads the whole transactions folder as a batch; the
-stream only decides *when* and *for which date* to run.  Progress lives in
-a checkpoint location on shared storage and the store's merge is
-idempotent, so a restarted or retried batch rewrites the same rows.
+A batch's rows are absorbed into mergeable state (``operators.feature_state``)
+and every table is built from that state, so a run reads the arrived rows, the
+months that its windows touch and the newest months of history, however long
+the history is; a late row costs its month and one build per stored date after
+it.  Rows are absorbed under the stream's batch number, so a batch that is
+tried again replaces what it left.  The state belongs to the checkpoint
+location: a stream with a new one starts over with all files.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
+from cartwise.operators.feature_state import absorb
+from cartwise.plans.feature_job import TABLE_NAMES, run_incremental_feature_job
 from cartwise.session import checkpoint_root
-from cartwise.sources.store import PARTITION, FeatureStore
+from cartwise.sources.store import FeatureStore
 
 
 def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: StructType,
@@ -53,21 +57,22 @@ def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: St
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    arrivals = reader.parquet(transactions_dir).select("day")
+    arrivals = reader.parquet(transactions_dir)
+    state = FeatureStore(spark, f"{store.root}/_refresh_state/{hashlib.sha256(ckpt.encode()).hexdigest()[:16]}")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
+        absorb(batch, products, state, str(epoch_id))
         arrived = {r[0] for r in batch.select("day").distinct().collect()} - {None}
         if not arrived:
             return
         first, latest = min(arrived), max(arrived)
-        history = spark.read.schema(schema).parquet(transactions_dir)
         stored = set()
         if store.exists(TABLE_NAMES["household"]):
-            stored = {r[0] for r in store.read_table(TABLE_NAMES["household"]).select(PARTITION).distinct().collect()}
+            stored = {dt.date.fromisoformat(d) for d in store.snapshot(TABLE_NAMES["household"]).dates()}
         loaded = first_load_date or min(stored, default=latest)
         days = {d for d in stored if d >= first} | {d for d in arrived if d > loaded} | {latest}
         for day in sorted(days):
-            run_feature_job(history, products, day, store)
+            run_incremental_feature_job(state, day, store)
 
     w = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
     if available_now:
