@@ -64,8 +64,9 @@ def absorb(transactions: DataFrame, products: DataFrame, store: FeatureStore, ba
                 .select("*", F.lit(batch).alias("batch"), month))
     for name, rows, keys in ((DAILY, daily, []), (ENTITIES, entities, ["kind", "value"])):
         store.create_table(name, [*PAIR, "day", *keys, "batch", PARTITION], rows.schema, "state of the feature tables")
-        # one task a month: no month's rows lie in files of many tasks
-        store.write_table(name, rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), PARTITION, F.pmod(F.xxhash64(PAIR[0]), F.lit(4))))
+        # a month's rows go to a few tasks by household, to one on a small cluster
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        store.write_table(name, rows.repartition(parts, PARTITION, F.pmod(F.xxhash64(PAIR[0]), F.lit(max(1, parts // 64)))))
 
 
 def _months(store: FeatureStore) -> list[dt.date]:

@@ -53,14 +53,16 @@ class FeatureInputs:
         return resolve_windows(self.max_day, self.window_names) if self.max_day else []
 
 
-def prepare(transactions: DataFrame, products: DataFrame, select_date, top_n: int = TOP_N,
+def prepare(transactions: DataFrame, products: DataFrame | None, select_date, top_n: int = TOP_N,
             windows=WINDOW_ORDER) -> FeatureInputs:
     """Build the shared inputs (decision D4: both sides normalised).
 
-    The tables hold the metrics of ``windows``, by default of all four.
+    Without ``products`` the transactions carry their commodity already
+    (``sources.layout``).  The tables hold the metrics of ``windows``, by
+    default of all four.
     """
     select_date = as_date(select_date)
-    tx_all = with_commodity(transactions, products)
+    tx_all = transactions if products is None else with_commodity(transactions, products)
     top, max_day = top_commodities_and_max_day(tx_all, select_date, top_n)
     tx_asof = (tx_all.filter(F.col("day") <= F.lit(select_date))
                .withColumn("commodity_desc", normalize_commodity("commodity_desc")))

@@ -63,16 +63,18 @@ def labels(transactions: DataFrame, products: DataFrame, period: LabelPeriod, co
                     F.lit(period.features_end_day).alias("select_date")))
 
 
-def feature_lookup(spine: DataFrame, table: DataFrame, grain: str, broadcast_table: bool = False) -> DataFrame:
+def feature_lookup(spine: DataFrame, table: DataFrame, grain: str, broadcast_table: bool = False, fixed: tuple = ()) -> DataFrame:
     """Operator J6 for one table: exact match on keys + select_date.
 
     Every non-key column comes back prefixed (P11); keys that are absent
     from the table give NULL features, as a feature-store lookup does.
     ``broadcast_table`` is only set for tables whose row count is bounded
     by construction (the commodity table holds at most top-n rows per date).
+    Keys in ``fixed`` have one and the same value in the spine and the table
+    and are left out of the join.
     """
-    keys = LOOKUP_KEYS[grain]
-    feats = [c for c in table.columns if c not in keys]
+    keys = [k for k in LOOKUP_KEYS[grain] if k not in fixed]
+    feats = [c for c in table.columns if c not in LOOKUP_KEYS[grain]]
     side = table.selectExpr(*[f"`{k}`" for k in keys], *[f"`{c}` AS `{PREFIX[grain]}{c}`" for c in feats])
     if broadcast_table:
         side = F.broadcast(side)
@@ -80,30 +82,44 @@ def feature_lookup(spine: DataFrame, table: DataFrame, grain: str, broadcast_tab
 
 
 def lookup_all(spine: DataFrame, household: DataFrame, commodity: DataFrame,
-               household_commodity: DataFrame, select_date=None) -> DataFrame:
+               household_commodity: DataFrame, select_date=None, commodity_desc: str | None = None) -> DataFrame:
     """Operator J6: the three lookups chained, each a left join.
 
     With ``select_date`` every table is narrowed to that date first (a
     partition filter on store tables).  The commodity table is then at most
     top-n rows, the one side broadcast explicitly; without a date it is
     joined like the others and AQE decides.
+
+    With ``commodity_desc`` too (labels and scoring spines hold one commodity
+    and one date) the household and the pair table are both joined on the
+    household alone: the spine and the wide rows looked up first stay where
+    they are, and tables bucketed by household (``sources.layout``) join
+    without any exchange.
     """
+    fixed: tuple = ()
     if select_date is not None:
         d = F.lit(as_date(select_date))
         household = household.filter(F.col("select_date") == d)
         commodity = commodity.filter(F.col("select_date") == d)
         household_commodity = household_commodity.filter(F.col("select_date") == d)
-    out = feature_lookup(spine, household, "household")
+        if commodity_desc is not None:
+            fixed = ("select_date", "commodity_desc")
+            household_commodity = household_commodity.filter(F.col("commodity_desc") == F.lit(normalize_commodity_py(commodity_desc)))
+    out = feature_lookup(spine, household, "household", fixed=fixed)
+    out = feature_lookup(out, household_commodity, "household_commodity", fixed=fixed)
     out = feature_lookup(out, commodity, "commodity", broadcast_table=select_date is not None)
-    return feature_lookup(out, household_commodity, "household_commodity")
+    wide = [c for g in ("household", "commodity", "household_commodity") for c in out.columns if c.startswith(PREFIX[g])]
+    return out.select(*spine.columns, *wide)
 
 
 def training_set(label_df: DataFrame, household: DataFrame, commodity: DataFrame,
-                 household_commodity: DataFrame, keep_keys: bool = False, select_date=None) -> DataFrame:
+                 household_commodity: DataFrame, keep_keys: bool = False, select_date=None,
+                 commodity_desc: str | None = None) -> DataFrame:
     """Operator G10: labels + looked-up features, key columns excluded (P10).
 
-    ``select_date`` is the labels' feature date (select date - 30)."""
-    out = lookup_all(label_df, household, commodity, household_commodity, select_date)
+    ``select_date`` is the labels' feature date (select date - 30) and
+    ``commodity_desc`` their commodity, if they have one only."""
+    out = lookup_all(label_df, household, commodity, household_commodity, select_date, commodity_desc)
     return out if keep_keys else out.drop(*KEY_COLUMNS)
 
 
@@ -118,7 +134,7 @@ def scoring_set(transactions: DataFrame, commodity: str, select_date, household:
                 commodity_table: DataFrame, household_commodity: DataFrame) -> DataFrame:
     """Operator G11: the scoring spine with the three lookups, keys kept."""
     return lookup_all(scoring_spine(transactions, commodity, select_date), household,
-                      commodity_table, household_commodity, select_date)
+                      commodity_table, household_commodity, select_date, commodity)
 
 
 def lookup_coverage(looked_up: DataFrame) -> DataFrame:

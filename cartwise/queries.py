@@ -33,14 +33,19 @@ from cartwise.operators.evaluate import average_precision, confusion_metrics, ro
 from cartwise.operators.labels import (
     class_balance, feature_lookup, labels, lookup_coverage, positive_labels, scoring_set, training_set,
 )
-from cartwise.operators.registry import CHAMPION, latest_version, promote, version_for_alias
+from cartwise.operators import registry as R
+from cartwise.operators.registry import latest_version, promote
 from cartwise.operators.split import assign_split, split_bucket_sql
 from cartwise.operators.spine import (
     commodity_purchases, distinct_households, household_commodity_spine, top_commodities,
 )
+from cartwise.operators import feature_state as FS
 from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
+from cartwise.plans.inference_job import run_inference_job
+from cartwise.plans.training_job import run_training_job
 from cartwise.session import checkpoint_root, materialize
-from cartwise.sources.store import FeatureStore, write_predictions
+from cartwise.sources.layout import publish_lookups, read_facts_by_day, write_facts_by_day
+from cartwise.sources.store import FeatureStore
 from cartwise.sources.tables import load_products, load_transactions, transactions_asof, with_commodity
 
 FEATURE_DATE = "2001-08-01"
@@ -223,6 +228,34 @@ def household_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _q_feature_table(spark, sf_dir, "household")
 
 
+@register("household_features_by_day", lambda: O.feature_table_sql("household", FEATURE_DATE, FEATURE_COMMODITY))
+def q_household_features_by_day(spark, sf_dir):
+    """The facts are laid out by day; the household table reads its windows' days by their folders."""
+    tx, products = _tx(spark, sf_dir), _products(spark, sf_dir)
+    path = f"{checkpoint_root(spark).rstrip('/')}/facts-by-day-{uuid.uuid4().hex}"
+    write_facts_by_day(tx, products, path)
+    return FT.household_features(FT.prepare(read_facts_by_day(spark, path, with_commodity(tx, products).schema), None, FEATURE_DATE))
+
+
+def _absorbed(spark, sf_dir) -> FeatureStore:
+    """State of all transactions, which came in three batches: the older half, then the even baskets, then the rest, late rows among both."""
+    tx, products = _tx(spark, sf_dir), _products(spark, sf_dir)
+    state = _fresh_store(spark)
+    older, even = F.col("day") < "1998-07-01", F.col("basket_id") % 2 == 0
+    for i, part in enumerate((older & even, ~older & even, ~even)):
+        FS.absorb(tx.filter(part), products, state, str(i))
+    return state
+
+
+def _q_from_state(spark, sf_dir, grain):
+    return FS.feature_tables_from_state(_absorbed(spark, sf_dir), FEATURE_DATE)[grain]
+
+
+for _g in ("household", "household_commodity"):
+    register(f"{_g}_features_from_state", partial(O.feature_table_sql, _g, FEATURE_DATE, FEATURE_COMMODITY))(
+        partial(_q_from_state, grain=_g))
+
+
 # --------------------------------------------------------------------------
 # labels, lookups, training and scoring sets
 # --------------------------------------------------------------------------
@@ -315,7 +348,15 @@ def q_training_set(spark, sf_dir):
     """Labels + 1,128 looked-up features, keys excluded."""
     fed = _period().features_end_day
     hf, cf, hcf = _feature_tables(spark, sf_dir, fed)
-    return training_set(_labels(spark, sf_dir), hf, cf, hcf, select_date=fed)
+    return training_set(_labels(spark, sf_dir), hf, cf, hcf, select_date=fed, commodity_desc=LABEL_COMMODITY)
+
+
+@register("training_set_bucketed", lambda: _lookup_sql(f"{_labels_sql_ctes()}, sp AS (SELECT * FROM lab)",
+                                                       str(_period().features_end_day), keep_keys=True))
+def q_training_set_bucketed(spark, sf_dir):
+    """Labels and feature tables published bucketed by household, then joined without an exchange; keys kept."""
+    fed = _period().features_end_day
+    return publish_lookups(_labels(spark, sf_dir), *_feature_tables(spark, sf_dir, fed), fed, LABEL_COMMODITY).looked_up(spark)
 
 
 def _scoring_sql():
@@ -350,9 +391,11 @@ BASELINE_SCORE = CANDIDATES[0][1]
 
 def _evaluation_frame(spark, sf_dir) -> DataFrame:
     """Labels + the looked-up features the baselines use, with the split."""
-    hf, _cf, hcf = _feature_tables(spark, sf_dir, _period().features_end_day)
-    lab = _labels(spark, sf_dir)
-    ev = feature_lookup(feature_lookup(lab, hf, "household"), hcf, "household_commodity")
+    windows = [w for w in WINDOW_ORDER if any(c.endswith("_" + w) for _, c in CANDIDATES)]
+    inp = FT.prepare(_tx(spark, sf_dir), _products(spark, sf_dir, LABEL_COMMODITY_COLUMN), _period().features_end_day, windows=windows)
+    lab, one = _labels(spark, sf_dir), ("select_date", "commodity_desc")
+    pairs = FT.household_commodity_features(inp).filter(F.col("commodity_desc") == LABEL_COMMODITY)
+    ev = feature_lookup(feature_lookup(lab, FT.household_features(inp), "household", fixed=one), pairs, "household_commodity", fixed=one)
     return assign_split(ev.select("household_key", F.col("purchased").alias("label"),
                                   *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for _, c in CANDIDATES]))
 
@@ -482,15 +525,31 @@ def q_model_promotion(spark, sf_dir):
 @register("latest_model_version", lambda: f"WITH {_history_sql()} SELECT model_name, "
           "greatest(max(version), 1) AS latest_version FROM hist GROUP BY model_name")
 def q_latest_model_version(spark, sf_dir):
-    """M9: latest registered version (at least 1)."""
-    return latest_version(_history(spark, sf_dir))
+    """M9: latest version in the registry that the versions were registered in, one after the other."""
+    return latest_version(R.history(_registered(spark, sf_dir), MODEL_NAME))
 
 
 @register("champion_version", lambda: f"SELECT model_name, version, roc_auc FROM ({_promotion_sql()}) "
           "WHERE alias = 'Champion'")
 def q_champion_version(spark, sf_dir):
-    """The version the Champion alias points to."""
-    return version_for_alias(promote(_history(spark, sf_dir), QUERY_GATE), CHAMPION)
+    """The version that the alias log names as Champion."""
+    store = _registered(spark, sf_dir)
+    held = R.aliases(store, MODEL_NAME).filter(F.col("alias") == R.CHAMPION)
+    return R.history(store, MODEL_NAME).join(held, ["model_name", "version"]).select("model_name", "version", "roc_auc")
+
+
+def _registered(spark, sf_dir) -> FeatureStore:
+    """A store in which the candidate scorers were registered as versions, by their measured AUC.
+
+    All are measured on the same rows, so the Champion that a version meets has the best passing AUC before it.
+    """
+    store, versions, best = _fresh_store(spark), [], None
+    for r in sorted(_history(spark, sf_dir).collect(), key=lambda r: r["version"]):
+        versions.append((r["version"], r["roc_auc"], best))
+        if r["roc_auc"] is not None and r["roc_auc"] >= max(QUERY_GATE, best or 0.0):
+            best = r["roc_auc"]
+    R.register(store, MODEL_NAME, versions, QUERY_GATE, QUERY_TIME)
+    return store
 
 
 # --------------------------------------------------------------------------
@@ -523,7 +582,7 @@ def _model_data(spark, sf_dir) -> DataFrame:
     """
     fed = _period().features_end_day
     hf, cf, hcf = _feature_tables(spark, sf_dir, fed)
-    ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True, select_date=fed)
+    ts = training_set(_labels(spark, sf_dir), hf, cf, hcf, keep_keys=True, select_date=fed, commodity_desc=LABEL_COMMODITY)
     return materialize(assign_split(ts), "training_set")
 
 
@@ -531,16 +590,21 @@ def _model_data(spark, sf_dir) -> DataFrame:
 QUERY_ROUNDS = M.MAX_ITER
 
 
-#: Boosting rounds of the searched trials, and the rows that ``_tuning_sql`` states. The query tries
-#: ``M.default_trials`` candidates; the SQL's 8 rows are of a search of 8 and don't match it.
-TUNING_ROUNDS, TUNING_TRIALS = M.MAX_ITER, 8
+#: Boosting rounds of the searched trials.
+TUNING_ROUNDS = M.MAX_ITER
+
+
+def _tuning_trials() -> int:
+    """Candidates of the search in the running session; without one, the number that small clusters try."""
+    spark = SparkSession.getActiveSession()
+    return M.default_trials(spark) if spark is not None else M.MIN_TRIALS
 
 
 def _search(data: DataFrame, feats: list[str]) -> M.TuningResult:
     """M4: the whole random search, fitted on train and scored on validate."""
     cands = M.sample_params(M.default_trials(data.sparkSession), class_balance(data).first()["pos_class_weight"], max_iter=TUNING_ROUNDS)
     train, validate = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "validate")
-    return M.tune(train, validate, feats, cands, parallelism=M.TUNING_PARALLELISM)
+    return M.tune(train, validate, feats, cands)
 
 
 def _best_params(data: DataFrame, feats: list[str]) -> M.Params:
@@ -563,7 +627,7 @@ def _tuning_sql():
     return (f"WITH {_labels_sql_ctes()} SELECT CAST(range AS INTEGER) AS trial, TRUE AS depth_valid, TRUE AS rate_valid, "
             "TRUE AS weight_valid, TRUE AS metrics_valid, "
             f"(SELECT count(*) FROM lab WHERE {split} = 'train') AS train_rows, "
-            f"(SELECT count(*) FROM lab WHERE {split} = 'validate') AS validate_rows FROM range({TUNING_TRIALS})")
+            f"(SELECT count(*) FROM lab WHERE {split} = 'validate') AS validate_rows FROM range({_tuning_trials()})")
 
 
 @register("tune_model", _tuning_sql)
@@ -588,13 +652,18 @@ def q_tune_model(spark, sf_dir):
         F.lit(train.count()).cast("long").alias("train_rows"), F.lit(validate.count()).cast("long").alias("validate_rows"))
 
 
-def _stamped_predictions(spark, sf_dir) -> DataFrame:
-    data = _model_data(spark, sf_dir)
-    feats = M.feature_names(data)
-    model = M.fit(data.filter(F.col("split") != "test"), feats, _best_params(data, feats))
-    hf, cf, hcf = _feature_tables(spark, sf_dir, LABEL_DATE)
-    sc = scoring_set(_tx(spark, sf_dir), LABEL_COMMODITY, LABEL_DATE, hf, cf, hcf)
-    return M.batch_score(model, sc, feats, model_version=1, inference_timestamp=QUERY_TIME)
+def _champion_store(spark, sf_dir) -> FeatureStore:
+    """Feature tables of the training and the scoring date, and a model that the training job searched, fitted and registered.
+
+    The gate is open: on these tables, whose labels have no signal, the first
+    version becomes the Champion whatever its AUC.
+    """
+    store = _fresh_store(spark)
+    tx, products = _tx(spark, sf_dir), _products(spark, sf_dir, LABEL_COMMODITY_COLUMN)
+    for day in (_period().features_end_day, LABEL_DATE):
+        run_feature_job(tx, products, day, store)
+    run_training_job(spark, tx, products, store, LABEL_DATE, LABEL_COMMODITY, MODEL_NAME, max_iter=TUNING_ROUNDS, gate=0.0)
+    return store
 
 
 def _checked_predictions(scored: DataFrame) -> DataFrame:
@@ -610,8 +679,10 @@ def _predictions_sql():
 
 @register("batch_score", _predictions_sql)
 def q_batch_score(spark, sf_dir):
-    """Final model on train+validate scores every household."""
-    return _checked_predictions(_stamped_predictions(spark, sf_dir))
+    """The registered Champion scores every household."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    return _checked_predictions(run_inference_job(spark, _tx(spark, sf_dir), _champion_store(spark, sf_dir), LABEL_DATE, LABEL_COMMODITY,
+                                                  MODEL_NAME, path, QUERY_TIME))
 
 
 # --------------------------------------------------------------------------
@@ -668,11 +739,10 @@ def q_feature_table_key_check(spark, sf_dir):
 
 @register("predictions_table", _predictions_sql)
 def q_predictions_table(spark, sf_dir):
-    """Stamped predictions written (overwrite) and read back."""
-    out = _stamped_predictions(spark, sf_dir)
-    path = f"{checkpoint_root(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
-    write_predictions(out, path)
-    return _checked_predictions(spark.read.parquet(path))
+    """The Champion's stamped predictions overwrite a table of the catalog, which is read by name."""
+    table = f"predictions_{uuid.uuid4().hex[:12]}"
+    run_inference_job(spark, _tx(spark, sf_dir), _champion_store(spark, sf_dir), LABEL_DATE, LABEL_COMMODITY, MODEL_NAME, None, QUERY_TIME, table)
+    return _checked_predictions(spark.table(table))
 
 
 # --------------------------------------------------------------------------
@@ -740,9 +810,9 @@ def q_project_keys(spark, sf_dir):
 
 @register("feature_refresh_stream", lambda: O.feature_table_sql("household", FEATURE_DATE, FEATURE_COMMODITY))
 def q_feature_refresh_stream(spark, sf_dir):
-    """The transactions arrive as files; the stream runs the feature job for
-    the latest arrived day and merges the tables; the household table is
-    read back (the last day in the data is the feature date)."""
+    """The transactions arrive as files, in one batch; the stream absorbs them,
+    builds the latest day's tables from the state and merges them; the household
+    table is read back (the last day in the data is the feature date)."""
     from cartwise.streaming.refresh import start_feature_refresh
 
     root = f"{checkpoint_root(spark).rstrip('/')}/query-stream-{uuid.uuid4().hex}"

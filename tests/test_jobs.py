@@ -10,7 +10,8 @@ from cartwise.functions.dates import label_period
 from cartwise.functions.metrics import feature_columns
 from cartwise.plans.feature_job import TABLE_NAMES, run_feature_job
 from cartwise.plans.inference_job import champion, run_inference_job
-from cartwise.plans.training_job import REGISTRY_TABLE, run_training_job
+from cartwise.operators import registry as R
+from cartwise.plans.training_job import run_training_job
 from cartwise.sources.store import FeatureStore
 from cartwise.sources.tables import load_products, load_transactions
 
@@ -56,8 +57,7 @@ def test_training_then_inference(spark, setup):
             run_inference_job(spark, tx, store, SELECT, "PROMO", "propensity_test",
                               tempfile.mkdtemp() + "/p")
         # register the same model again as a version that passes the gate
-        store.write_table(REGISTRY_TABLE, spark.createDataFrame(
-            [("propensity_test", 1, 0.9, None)], "model_name string, version int, roc_auc double, champion_auc double"))
+        R.register(store, "propensity_test", [(1, 0.9, None)])
     assert champion(store, "propensity_test") == 1
     out = run_inference_job(spark, tx, store, SELECT, "PROMO", "propensity_test",
                             tempfile.mkdtemp() + "/predictions",
