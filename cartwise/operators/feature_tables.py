@@ -160,22 +160,21 @@ def assemble(inp: FeatureInputs, hist: DataFrame, additive: DataFrame, entities:
     h, c = PAIR
     spark, wins = hist.sparkSession, inp.windows
 
-    def grain(keys):
+    def grain(keys, spine=None):
         parts = [hist, additive, entities]
         if c in keys:
             parts = [p.filter(F.col(c).isNotNull()) for p in parts]
         old, sums, seen = parts
         if keys != PAIR:
             old, sums, seen = roll_up(old, keys), roll_up_sums(sums, keys), roll_up(seen, [*keys, "kind", "value"])
-        return project_features(join_aggregates(old, sums, entity_counts(seen, keys, wins), keys), keys, wins)
+        joined = join_aggregates(old, sums, entity_counts(seen, keys, wins), keys)
+        # the spine meets the narrow parts, so one projection makes the wide rows
+        joined = joined if spine is None else spine.join(joined, keys, "left")
+        return _finish(project_features(joined, keys, wins), keys, inp.select_date, inp.window_names)
 
     cm_spine = spark.createDataFrame([(x,) for x in inp.top], "commodity_desc string")
     hc_spine = household_commodity_spine(hist.select(h).distinct(), inp.top)
-    return {
-        "household": _finish(grain([h]), [h], inp.select_date, inp.window_names),
-        "commodity": _finish(F.broadcast(cm_spine).join(grain([c]), [c], "left"), [c], inp.select_date, inp.window_names),
-        "household_commodity": _finish(hc_spine.join(grain(PAIR), PAIR, "left"), PAIR, inp.select_date, inp.window_names),
-    }
+    return {"household": grain([h]), "commodity": grain([c], F.broadcast(cm_spine)), "household_commodity": grain(PAIR, hc_spine)}
 
 
 BUILDERS = {
