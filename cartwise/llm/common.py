@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwise.session import materialize, remove_path, stage_path
 
-__all__ = ["ship_package", "table", "stage", "drop_stage", "text_bytes", "pieces_for", "stage_path"]
+__all__ = ["ship_package", "table", "stage", "drop_stage", "text_bytes", "pieces_for", "stage_path", "unused"]
 
 
 _SHIPPED: set[str] = set()
@@ -73,3 +73,14 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 def pieces_for(n_bytes: int, target: int, least: int = 1) -> int:
     """How many partitions of about ``target`` bytes hold ``n_bytes``."""
     return max(least, math.ceil(n_bytes / target))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to clash with no column of ``df`` (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

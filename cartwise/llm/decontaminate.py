@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stage
+from .common import stage, unused
 
 WINDOW = 10
 GRAM_WORDS = 5
@@ -103,9 +103,13 @@ def _spans(words: Column, candidate: Column) -> Column:
 
 def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id", into: str = "_contamination") -> DataFrame:
     """All rows and columns of ``docs`` and a struct column ``into``:
-    n_words, n_hit, n_items, items_sha256, contaminated."""
+    n_words, n_hit, n_items, items_sha256, contaminated.
+
+    ``into`` must be no column of ``docs``; names used on the way give way to its columns.
+    """
     text = F.col(text_col).cast("string")
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col).cast("string"), text))
+    row, candidate_col = unused(docs, "_row", "_candidates")
+    keyed = docs.withColumn(row, F.xxhash64(F.col(id_col).cast("string"), text))
     items, _ = stage(
         benchmark.select(F.col(item_id).cast("string").alias("item_id"), words_of(F.col(item_text).cast("string")).alias("words"))
         .where(F.size("words") > 0).distinct().withColumn("item", F.xxhash64("item_id", "words")),
@@ -114,13 +118,13 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_c
     short = [r[0] for r in items.select(F.size("words").alias("n")).where(F.col("n") < WINDOW).distinct().collect()]  # nine values at most
     prints, _ = stage(_fingerprints(items, "item", "words", True, sorted(short)).withColumnRenamed("place", "item_place").distinct(), "benchmark-fingerprints")
     small = prints.count() <= BROADCAST_ROWS
-    found = _fingerprints(keyed.select("_row", words_of(text).alias("words")), "_row", "words", False, sorted(short))
+    found = _fingerprints(keyed.select(row, words_of(text).alias("words")), row, "words", False, sorted(short))
     joined = found.join(F.broadcast(prints) if small else prints, ["length", "hash"])
-    placed = joined.select("_row", "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
-    candidates = placed.join(items, "item").groupBy("_row").agg(F.collect_list(F.struct("item_id", "words", "shift")).alias("_candidates"))
+    placed = joined.select(row, "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
+    candidates = placed.join(items, "item").groupBy(row).agg(F.collect_list(F.struct("item_id", "words", "shift")).alias(candidate_col))
 
     def judge(words: Column) -> Column:
-        per_item = F.transform(F.col("_candidates"), lambda c: F.struct(c["item_id"].alias("item_id"), _spans(words, c).alias("spans")))
+        per_item = F.transform(F.col(candidate_col), lambda c: F.struct(c["item_id"].alias("item_id"), _spans(words, c).alias("spans")))
         hits = F.filter(F.coalesce(per_item, F.array().cast("array<struct<item_id:string,spans:array<struct<place:int,length:int>>>>")), lambda h: F.size(h["spans"]) > 0)
 
         def sums(hit: Column) -> Column:
@@ -134,7 +138,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_c
 
         return _let(hits, sums)
 
-    judged = keyed.join(candidates, "_row", "left").withColumn(into, _let(words_of(text), judge))
+    judged = keyed.join(candidates, row, "left").withColumn(into, _let(words_of(text), judge))
     return judged.select(*[F.col(f"`{c}`") for c in docs.columns], into)
 
 
@@ -146,4 +150,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs."""
-    return annotate(docs, benchmark).where(~F.col("_contamination.contaminated")).drop("_contamination")
+    (into,) = unused(docs, "_contamination")
+    return annotate(docs, benchmark, into=into).where(~F.col(f"{into}.contaminated")).drop(into)

@@ -41,7 +41,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import drop_stage, pieces_for, stage, text_bytes
+from .common import drop_stage, pieces_for, stage, text_bytes, unused
 
 LENGTH = 50
 ANCHOR = 32
@@ -396,20 +396,23 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated strings removed from ``text`` (``n_chars`` follows).
+    """``docs`` with repeated strings removed from ``text`` (``n_chars``, if there is one, follows).
 
     A cut inside a character drops what is left of it; documents of which
-    nothing but white space remains are dropped.
+    nothing but white space remains are dropped.  Other columns, whatever
+    their names, pass through; an empty table stays empty.
     """
-    changed = repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept").distinct()
+    id_col, sha_col, kept_col = unused(docs, "_id", "_sha", "kept")
+    changed = repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias(sha_col), F.col("kept").alias(kept_col)).distinct()
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    joined = docs.join(changed, (F.col("_id") == F.col("doc_id")) & (F.col("_sha") == sha), "left")
+    joined = docs.join(changed, (F.col(id_col) == F.col("doc_id")) & (F.col(sha_col) == sha), "left")
 
     @F.pandas_udf("string")
     def decoded(kept: pd.Series) -> pd.Series:
         return kept.map(lambda b: b.decode("utf-8", "ignore") if b is not None else None)
 
-    text = F.when(F.col("kept").isNotNull(), decoded("kept")).otherwise(F.col("text"))
-    out = joined.withColumn("text", text).where("kept IS NULL OR trim(text) != ''")
-    out = out.withColumn("n_chars", F.when(F.col("kept").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    cut = F.col(kept_col).isNotNull()
+    out = joined.withColumn("text", F.when(cut, decoded(kept_col)).otherwise(F.col("text"))).where(~cut | (F.trim("text") != ""))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(docs.columns)

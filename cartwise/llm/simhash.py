@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from .common import drop_stage, stage
+from .common import drop_stage, stage, unused
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -171,8 +171,9 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     least = F.min(F.struct("no_id", "id", "hash", "copies")).alias("least")
     distinct, _ = stage(keys.groupBy("fp").agg(least), "simhash-distinct")
     kept, _ = stage(_rooted(distinct).groupBy("root").agg(F.min("least").alias("least")).select("least.id", "least.hash", "least.copies"), "simhash-kept")
-    keyed = docs.withColumn("kept_hash", _text_hash())
-    same = keyed["doc_id"].cast("long").eqNullSafe(kept["id"]) & (keyed["kept_hash"] == kept["hash"])
+    (hash_col,) = unused(docs, "kept_hash")
+    keyed = docs.withColumn(hash_col, _text_hash())
+    same = keyed["doc_id"].cast("long").eqNullSafe(kept["id"]) & (keyed[hash_col] == kept["hash"])
     once = keyed.join(kept.where("copies = 1"), same, "left_semi")
     repeated = keyed.join(kept.where("copies > 1"), same, "left_semi")
-    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"])).drop("kept_hash")
+    return once.unionByName(repeated.dropDuplicates(["doc_id", "text"])).drop(hash_col)
