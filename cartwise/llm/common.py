@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwise.session import materialize, remove_path, stage_path
 
-__all__ = ["ship_package", "table", "stage", "drop_stage", "text_bytes", "pieces_for", "stage_path", "unused"]
+__all__ = ["ship_package", "table", "stage", "drop_stage", "text_bytes", "pieces_for", "stage_path", "unused", "release_memory"]
 
 
 _SHIPPED: set[str] = set()
@@ -84,3 +84,18 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def release_memory() -> None:
+    """Give a Python worker's freed memory back to the system, as workers outlive the stages that filled them."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has no such call
+        pass

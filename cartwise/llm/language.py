@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from .common import drop_stage, stage
+from .common import drop_stage, release_memory, stage
 
 FEATURES = 1 << 16
 SAMPLE_ROWS = 6_000
@@ -234,8 +234,10 @@ def predictor(docs: DataFrame, model: LanguageModel):
     shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES x languages numbers
 
     @F.pandas_udf(StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+        release_memory()
 
     return predict
 

@@ -41,12 +41,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import drop_stage, pieces_for, stage, text_bytes, unused
+from .common import drop_stage, pieces_for, release_memory, stage, text_bytes, unused
 
 LENGTH = 50
 ANCHOR = 32
 ROUTE = 12
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Text bytes whose anchors, or whose suffixes if all were candidates, make up one hash range.
 RANGE_BYTES = 32 << 20
 BLOCK = 1 << 19
@@ -147,6 +147,7 @@ def _shared_anchors(sharded: DataFrame, ranges: int) -> DataFrame:
     """(shard, hashes): a shard's anchors that occur in more than one document."""
 
     def collect(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        release_memory()  # of the shard before, and of earlier stages
         ids, texts = _texts(frame)
         shard, hashes, docs = _Shard(texts), [], []
         for _, doc, whole, values in shard.blocks():
@@ -236,6 +237,7 @@ def _suffixes(sharded: DataFrame, anchors: DataFrame, ranges: int) -> DataFrame:
     def cut(key: tuple, docs: pd.DataFrame, reply: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame(columns=_STEP2_COLUMNS)
+        release_memory()
         number = int(key[0])
         ids, texts = _texts(docs)
         copy = np.zeros(len(ids), np.int64)

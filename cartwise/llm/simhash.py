@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
-from .common import drop_stage, stage, unused
+from .common import drop_stage, release_memory, stage, unused
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -63,8 +63,10 @@ def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 @F.pandas_udf(LongType())
-def simhash_column(texts: pd.Series) -> pd.Series:
-    return pd.Series([simhash(t) for t in texts], dtype="int64")
+def simhash_column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield pd.Series([simhash(t) for t in texts], dtype="int64")
+    release_memory()
 
 
 #: Bits flipped in the 16 left-over bits: none of them, one or two.
