@@ -138,7 +138,15 @@ class FeatureStore:
         if not parts:
             return self.spark.createDataFrame([], schema)
         base = self._data(name)
-        paths = [f"{base}/write={w}/{p}".rstrip("/") for p, w in sorted(parts.items())]
+        by_write: dict[str, set] = {}
+        for p, w in parts.items():
+            by_write.setdefault(w, set()).add(p)
+        paths = []
+        for w, wanted in sorted(by_write.items()):
+            folder = f"{base}/write={w}"
+            # a write that is wanted whole is one path to list, not one for each date
+            whole = len(wanted) > 1 and wanted == {c for c in self.files.children(folder) if c.startswith(f"{PARTITION}=")}
+            paths += [folder] if whole else sorted(f"{folder}/{p}".rstrip("/") for p in wanted)
         found = self.spark.read.schema(StructType([*schema.fields]).add("write", "string")).option("basePath", base).parquet(*paths)
         return found.select(*schema.fieldNames())
 
