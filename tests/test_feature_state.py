@@ -63,13 +63,13 @@ def test_the_newest_days_cost_the_newest_months(spark, facts, arrived, monkeypat
 
 def test_late_rows_rebuild_history_from_the_last_month_before_them(spark, facts, arrived, monkeypatch):
     tx, products = facts
-    for m in ("2000-07-01", "2000-12-01", "2001-08-01"):
+    for m in ("2000-08-01", "2000-12-01", "2001-08-01"):
         S.history_before(arrived, dt.date.fromisoformat(m))
     S.absorb(tx.filter(F.col("day").between("2000-08-01", "2000-08-31")).limit(1), products, arrived, "late")
     read, real = [], FeatureStore.read_dates
     monkeypatch.setattr(FeatureStore, "read_dates", lambda self, name, dates, *a: read.append(sorted(map(str, dates))) or real(self, name, dates, *a))
     S.history_before(arrived, dt.date(2001, 8, 1))
-    assert len(read) == 1 and read[0][0] == "2000-07-01" and read[0][-1] == "2001-07-01"
+    assert len(read) == 1 and read[0][0] == "2000-08-01" and read[0][-1] == "2001-07-01"
     S.absorb(tx.limit(0), products, arrived, "late")  # a batch that is tried again with nothing leaves what it had
 
 
