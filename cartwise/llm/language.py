@@ -10,19 +10,28 @@ elastic-net penalty) and calibrated with one temperature.
 * Document frequencies cover all labelled training documents.
 * The regression is fitted on a sample of about ``SAMPLE_ROWS`` training
   documents, the same number per language as far as there are so many (a
-  documented bound: a row is drawn by the hash of its id).  ``SHARDS`` tasks
-  train on a share each and their weights are averaged.  One row in
-  ``CALIBRATE_ONE_IN`` of the sample is kept from training and sets the
-  temperature.
+  documented bound: a row is drawn by the hash of its id and text, and rows
+  equal in both are drawn as one).  ``SHARDS`` tasks train on a share each and
+  their weights are averaged.  One row in ``CALIBRATE_ONE_IN`` of the sample is
+  kept from training and sets the temperature, with one pseudo-count against
+  the label, so that rows without an error have a best temperature too.
+* A block of code points is known if one in ``KNOWN_ONE_IN`` labelled training
+  documents of some language has letters of it.  The score is the calibrated
+  probability times the share of the text's letters in known blocks: hashed
+  grams of a script that was never learned say nothing.
 * Prediction reads the whole text and nothing else.
 
 Defined cases: a null text or one without a letter gives ``und`` with score
-0, as does every text if nothing could be learned; rows with a null label are
-predicted but never learned from; repeated rows count as often as they occur.
+0, as does every text if nothing could be learned; a text without a known
+letter gets the likeliest language with score 0; rows with a null label are
+predicted but never learned from; repeated rows count as often as they occur,
+but once in the sample; null ids are drawn by their texts; an only language has
+temperature 1; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,14 +48,19 @@ SHARDS = 4
 EPOCHS = 2
 CALIBRATE_ONE_IN = 5
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
+#: Blocks of 2 ** BLOCK_BITS code points are known from one in KNOWN_ONE_IN documents of a language.
+BLOCK_BITS, KNOWN_ONE_IN = 7, 100
+BLOCKS = 0x110000 >> BLOCK_BITS
+#: The logarithms of the temperature that are searched.
+LOG_TEMPERATURE = 8.0
 UNDETERMINED = "und"
-#: The least calibrated score with which a filter takes a text as written in its likeliest language: that one is
-#: half as likely again as all others together.  A text without a letter scores 0.
-MIN_SCORE = 0.6
+#: The least score with which a filter takes a text as written in a learned language.  A text torn between two
+#: learned languages stays; one torn among more, or with under a third of its letters in known blocks, goes.
+MIN_SCORE = 1 / 3
 
 
-def _grams(text: str) -> np.ndarray:
-    """Feature buckets of all 1- to 3-grams of a text, repeats included."""
+def _points(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case code points of a text, and which of them are letters."""
     x = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
     ascii_letter = (x - 97 < 26)
     letter = ascii_letter | (x >= 170)
@@ -55,6 +69,18 @@ def _grams(text: str) -> np.ndarray:
         signs = [c for c in other if not chr(c).isalpha()]
         if signs:
             letter &= ~np.isin(x, signs)
+    return x, letter
+
+
+def _blocks(text: str) -> np.ndarray:
+    """The block of each letter."""
+    x, letter = _points(text)
+    return x[letter] >> BLOCK_BITS
+
+
+def _grams(text: str) -> np.ndarray:
+    """Feature buckets of all 1- to 3-grams of a text, repeats included."""
+    x, letter = _points(text)
     x = np.where(letter, x, 32).astype(np.uint64)
     x = np.concatenate(([32], x, [32])).astype(np.uint64)
     x = x[np.concatenate(([True], (x[1:] != 32) | (x[:-1] != 32)))]
@@ -90,13 +116,21 @@ def _vector(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Learned values, inverse document frequencies, weights, temperature."""
+    """Learned values, inverse document frequencies, weights, temperature, known blocks (None: all)."""
 
     languages: tuple[str, ...]
     idf: np.ndarray
     weights: np.ndarray  # (features, languages)
     bias: np.ndarray
     temperature: float
+    known: np.ndarray | None = None
+
+    def familiar(self, text: str) -> float:
+        """The share of a text's letters in known blocks."""
+        if self.known is None or (self.known[0] and text.isascii()):
+            return 1.0
+        blocks = _blocks(text)
+        return float(self.known[blocks].mean()) if len(blocks) else 0.0
 
     def logits(self, text: str) -> np.ndarray:
         at, n = _counts(text)
@@ -108,7 +142,7 @@ class LanguageModel:
         z = self.logits(text) / self.temperature
         p = np.exp(z - z.max())
         best = int(np.argmax(p))
-        return self.languages[best], float(p[best] / p.sum())
+        return self.languages[best], float(p[best] / p.sum()) * self.familiar(text)
 
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
@@ -147,21 +181,27 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     """Learn from all given rows with a text and a label."""
     spark = docs.sparkSession
     rows = docs.select(
-        F.xxhash64(F.col(id_col).cast("string")).alias("draw"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label")
+        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")).alias("draw"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("label")
     ).where("text IS NOT NULL AND label IS NOT NULL")
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df, labels = np.zeros(FEATURES, np.int64), {}
+        df, labels, blocks = np.zeros(FEATURES, np.int64), {}, {}
         for batch in batches:
             for text, label in zip(batch["text"], batch["label"], strict=True):
                 if has_letter(text):
                     labels[label] = labels.get(label, 0) + 1
+                    for block in (0,) if text.isascii() else np.unique(_blocks(text)).tolist():
+                        blocks[label, block] = blocks.get((label, block), 0) + 1
                     df[np.unique(_grams(text)) if len(text) < 1000 else _counts(text)[0]] += 1
         at = np.flatnonzero(df)
-        yield pd.DataFrame({"label": pd.Series([None] * len(at) + list(labels), dtype=object), "feature": [*at.tolist(), *[-1] * len(labels)], "n": [*df[at].tolist(), *labels.values()]})
+        yield pd.DataFrame({
+            "label": pd.Series([None] * len(at) + list(labels) + [label for label, _ in blocks], dtype=object),
+            "feature": [*at.tolist(), *[-1] * len(labels), *(-2 - block for _, block in blocks)],
+            "n": [*df[at].tolist(), *labels.values(), *blocks.values()],
+        })
 
     counted = rows.select("text", "label").mapInPandas(frequencies, "label string, feature int, n long").groupBy("label", "feature").agg(F.sum("n").alias("n")).toPandas()
-    sizes = counted[counted.feature < 0].set_index("label")["n"].to_dict()
+    sizes = counted[counted.feature == -1].set_index("label")["n"].to_dict()
     languages = tuple(sorted(sizes))
     total = sum(sizes.values())
     idf = np.zeros(FEATURES)
@@ -170,10 +210,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     if not languages:
         return LanguageModel((), idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
 
+    known, block = np.zeros(BLOCKS, bool), counted[counted.feature < -1]
+    often = block.n.to_numpy() * KNOWN_ONE_IN >= block.label.map(sizes).to_numpy()
+    known[-2 - block.feature.to_numpy(np.int64)[often]] = True
+
     share = SAMPLE_ROWS / len(languages)
     most = (1 << 32) - 1
     keep = F.create_map(*[F.lit(x) for k in languages for x in (k, min(most, int(most * share / sizes[k])))])
     drawn = rows.where(F.col("draw").bitwiseAND(F.lit(most)) <= F.try_element_at(keep, F.col("label")))
+    drawn = drawn.groupBy("draw", "label").agg(F.first("text").alias("text"))  # equal rows, of null ids too, are one
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = {k: i for i, k in enumerate(languages)}
@@ -208,24 +253,37 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     bias[outer.label] = outer.w / max(1, shards)
     held = decode(features.where(part == 0).toPandas())  # at most about SAMPLE_ROWS / CALIBRATE_ONE_IN rows
     drop_stage(spark, path)
-    return LanguageModel(languages, idf, weights, bias, calibrate([x @ weights[at] + bias for at, x, _ in held], [c for *_, c in held]))
+    return LanguageModel(languages, idf, weights, bias, calibrate([x @ weights[at] + bias for at, x, _ in held], [c for *_, c in held]), known)
 
 
-def calibrate(logits: list[np.ndarray], labels: list[int]) -> float:
-    """The temperature with the least negative log-likelihood (golden section on its logarithm)."""
-    if not logits:
-        return 1.0
-    z, y = np.array(logits), np.array(labels)
+def calibration_loss(z: np.ndarray, y: np.ndarray, temperature: float) -> float:
+    """Mean cross-entropy of logits over a temperature, one pseudo-count of a wrong label in ``len(y) + 2``.
+
+    Convex in the inverse temperature, so a search by halves finds the least.
+    """
+    s = z / temperature
+    s = s - s.max(axis=1, keepdims=True)
+    right, wrong = s[np.arange(len(y)), y], 1 / (len(y) + 2)
+    others = (s.sum(axis=1) - right) / (z.shape[1] - 1)
+    return float((np.log(np.exp(s).sum(axis=1)) - (1 - wrong) * right - wrong * others).mean())
 
-    def loss(log_t: float) -> float:
-        s = z / np.exp(log_t)
-        s = s - s.max(axis=1, keepdims=True)
-        return float((np.log(np.exp(s).sum(axis=1)) - s[np.arange(len(y)), y]).mean())
 
-    lo, hi, g = -4.0, 4.0, (5 ** 0.5 - 1) / 2
+def calibrate(logits: list[np.ndarray], labels: list[int]) -> float:
+    """The temperature with the least ``calibration_loss`` (golden section on its logarithm).
+
+    1 if there are no rows, one class or equal logits only.  A best value at
+    the bound of the search (logits that go against the labels) is reported as
+    a warning.
+    """
+    z, y = np.array(logits), np.array(labels)
+    if not len(y) or z.shape[1] < 2 or not np.ptp(z, axis=1).any():
+        return 1.0
+    lo, hi, g = -LOG_TEMPERATURE, LOG_TEMPERATURE, (5 ** 0.5 - 1) / 2
     while hi - lo > 1e-3:
         a, b = hi - g * (hi - lo), lo + g * (hi - lo)
-        lo, hi = (lo, b) if loss(a) <= loss(b) else (a, hi)
+        lo, hi = (lo, b) if calibration_loss(z, y, np.exp(a)) <= calibration_loss(z, y, np.exp(b)) else (a, hi)
+    if min(lo + LOG_TEMPERATURE, LOG_TEMPERATURE - hi) < 1e-2:
+        warnings.warn("the temperature of the language scores lies at the bound of its search", stacklevel=2)
     return float(np.exp((lo + hi) / 2))
 
 

@@ -20,7 +20,15 @@ def test_an_unlabelled_corpus_is_kept(spark):
 @pytest.mark.parametrize("lead, kept", [(0.0, []), (0.2, []), (1.0, [0, 1])])
 def test_a_text_without_a_leading_language_goes(spark, monkeypatch, lead, kept):
     ship_package(spark)
-    nothing = np.zeros(language.FEATURES), np.zeros((language.FEATURES, 2))
-    monkeypatch.setattr(language, "train_on_documents", lambda docs: language.LanguageModel(("de", "en"), *nothing, np.array([0.0, lead]), 1.0))
+    nothing = np.zeros(language.FEATURES), np.zeros((language.FEATURES, 4))
+    monkeypatch.setattr(language, "train_on_documents", lambda docs: language.LanguageModel(("de", "en", "es", "fr"), *nothing, np.array([0.0, lead, 0.0, 0.0]), 1.0))
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS)], SCHEMA)
     assert sorted(r.doc_id for r in P.identify_language(spark, docs, "").collect()) == kept
+
+
+def test_a_text_torn_between_two_languages_stays(spark, monkeypatch):
+    ship_package(spark)
+    nothing = np.zeros(language.FEATURES), np.zeros((language.FEATURES, 4))
+    monkeypatch.setattr(language, "train_on_documents", lambda docs: language.LanguageModel(("de", "en", "es", "fr"), *nothing, np.array([9.0, 9.0, 0.0, 0.0]), 1.0))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS)], SCHEMA)
+    assert sorted(r.doc_id for r in P.identify_language(spark, docs, "").collect()) == [0, 1]
