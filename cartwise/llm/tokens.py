@@ -145,7 +145,7 @@ class PrefixCounts:
         self.char = _Memo(lambda c: self.split(c)[0][0], 5000)
         self.begun = _Memo(None, 2 * limit)
         self.first = _Memo(lambda w: self._word("", w) if w[0].isalpha() else self._chunk(w), limit // 10)
-        self.later = _Memo(lambda w: self._word(" ", w), limit)
+        self.later = _Memo(lambda w: self._word(" ", w), 2 * limit)  # long texts bring new words at every size of input
 
     def _apart(self, pair: str) -> bool:
         """Whether two entries, given with a space between, stay apart (or one is its own encoding)."""
