@@ -23,3 +23,8 @@ def test_large_input_is_dealt_in_proportion(spark, monkeypatch):
     assert 30 <= T.pieces(tx) <= 31
     assert [tuple(r) for r in rows().collect()] == want
     assert "REPARTITION_BY_NUM" in rows()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_are_joined_once(spark):
+    inp = FT.prepare(T.load_transactions(spark, SF001), T.load_products(spark, SF001), "2001-08-01")
+    assert inp.tx_asof.inputFiles() and all("/facts/" in f for f in inp.tx_asof.inputFiles())
