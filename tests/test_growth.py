@@ -28,3 +28,17 @@ def test_large_input_is_dealt_in_proportion(spark, monkeypatch):
 def test_facts_are_joined_once(spark):
     inp = FT.prepare(T.load_transactions(spark, SF001), T.load_products(spark, SF001), "2001-08-01")
     assert inp.tx_asof.inputFiles() and all("/facts/" in f for f in inp.tx_asof.inputFiles())
+
+
+def test_get_features_reads_its_plan_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = [(1, 2, i, dt.date(2001, 7, 1), 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, "A") for i in range(5)]
+    df = spark.createDataFrame(rows, TX_SCHEMA).mapInPandas(read, TX_SCHEMA)
+    assert G.get_features(df, "household_key", "30d").first()["baskets_30d"] == 5
+    assert seen.value == 5
