@@ -61,8 +61,9 @@ def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: St
     state = FeatureStore(spark, f"{store.root}/_refresh_state/{hashlib.sha256(ckpt.encode()).hexdigest()[:16]}")
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        absorb(batch, products, state, str(epoch_id))
-        arrived = {r[0] for r in batch.select("day").distinct().collect()} - {None}
+        rows = {r["day"]: r["count"] for r in batch.groupBy("day").count().collect()}
+        absorb(batch, products, state, str(epoch_id), sum(rows.values()))
+        arrived = set(rows) - {None}
         if not arrived:
             return
         first, latest = min(arrived), max(arrived)

@@ -42,3 +42,17 @@ def test_get_features_reads_its_plan_once(spark):
     df = spark.createDataFrame(rows, TX_SCHEMA).mapInPandas(read, TX_SCHEMA)
     assert G.get_features(df, "household_key", "30d").first()["baskets_30d"] == 5
     assert seen.value == 5
+
+
+def test_state_holds_a_line_item_once(spark, tmp_path):
+    tx, products = T.load_transactions(spark, SF001).filter("day >= '2001-07-01'"), T.load_products(spark, SF001)
+    state = FeatureStore(spark, str(tmp_path))
+    S.absorb(tx, products, state, "0")
+    stored = sum(state.read_table(n).count() for n in state.files.children(state.root))
+    assert 0 < stored <= tx.count()
+
+
+def test_repeated_keys_are_found_by_hash_and_compared_by_value(spark, monkeypatch):
+    df = spark.createDataFrame([(1, None), (None, 1), (2, 3), (2, 3), (None, None), (None, None)], "a long, b long")
+    assert ST.repeated_keys(df, ["a", "b"]) == 2  # (1, null) and (null, 1) share a hash, not a key
+    assert ST.repeated_keys(df.distinct(), ["a", "b"]) == 0
