@@ -405,7 +405,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     their names, pass through; an empty table stays empty.
     """
     id_col, sha_col, kept_col = unused(docs, "_id", "_sha", "kept")
-    changed = repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias(sha_col), F.col("kept").alias(kept_col)).distinct()
+    changed = repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias(id_col), F.col("text_sha256").alias(sha_col), F.col("kept").alias(kept_col)).dropDuplicates([id_col, sha_col])  # dealt by the join's keys, so the texts move once
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     joined = docs.join(changed, (F.col(id_col) == F.col("doc_id")) & (F.col(sha_col) == sha), "left")
 

@@ -56,3 +56,12 @@ def test_repeated_keys_are_found_by_hash_and_compared_by_value(spark, monkeypatc
     df = spark.createDataFrame([(1, None), (None, 1), (2, 3), (2, 3), (None, None), (None, None)], "a long, b long")
     assert ST.repeated_keys(df, ["a", "b"]) == 2  # (1, null) and (null, 1) share a hash, not a key
     assert ST.repeated_keys(df.distinct(), ["a", "b"]) == 0
+
+
+def test_kept_texts_move_once(spark):
+    text = "the same passage of words comes in both of these two documents " * 3
+    docs = spark.createDataFrame([(1, text), (2, "head " + text), (2, "head " + text), (3, "other")], "doc_id long, text string")
+    out = R.without_repeats(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "hashpartitioning" in x and "kept" in x.split("hashpartitioning", 1)[1]]
+    assert sorted(r["doc_id"] for r in out.select(F.col("doc_id")).collect())[0] == 1
