@@ -36,7 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cartwise.operators.feature_state import absorb
-from cartwise.plans.feature_job import TABLE_NAMES, run_incremental_feature_job
+from cartwise.plans.feature_job import TABLE_NAMES, run_incremental_feature_jobs
 from cartwise.session import checkpoint_root
 from cartwise.sources.store import FeatureStore
 
@@ -72,8 +72,7 @@ def start_feature_refresh(spark: SparkSession, transactions_dir: str, schema: St
             stored = {dt.date.fromisoformat(d) for d in store.snapshot(TABLE_NAMES["household"]).dates()}
         loaded = first_load_date or min(stored, default=latest)
         days = {d for d in stored if d >= first} | {d for d in arrived if d > loaded} | {latest}
-        for day in sorted(days):
-            run_incremental_feature_job(state, day, store)
+        run_incremental_feature_jobs(state, sorted(days), store)
 
     w = arrivals.writeStream.foreachBatch(on_batch).option("checkpointLocation", ckpt)
     if available_now:
